@@ -1,18 +1,13 @@
-"""Column expressions the validation rules are made of.
+"""SQL expressions the validation rules are made of.
 
-A rule is a reason code plus a condition that is true when the row breaks it.
-All of them are built-in expressions, so a whole table's rules are evaluated in
-one projection inside whole-stage codegen.
+A rule is a reason code plus a condition that is true when the row breaks it.  The
+conditions are plain SQL over built-in functions, so all rules of a table are
+evaluated in one projection inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import and_, or_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from gradeflow.contract import (
     KEY_SEPARATOR,
@@ -28,45 +23,48 @@ EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 # Fixed value: the strict form of a date cell.
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
+IS_VALID = f"({REASONS} = '')"
+
+
+def matches(column: str, pattern: str) -> str:
+    return f"{column} rlike r'{pattern}'"
+
 
-def typed(contract: TableContract, column: str, strict_dates: bool = False) -> Column:
+def typed(contract: TableContract, column: str, strict_dates: bool = False) -> str:
     """Silver value of a text cell; null when the text does not parse.
 
     Date parsing follows Spark's cast ('2026-08' is the first of August).  With
     ``strict_dates`` only the full year-month-day form is accepted.
     """
     kind = contract.types[column]
-    cell = F.col(column)
+    if column == "estado":
+        return f"upper({column})"
     if kind == "string":
-        return F.upper(cell) if column == "estado" else cell
+        return column
     if kind == "date" and strict_dates:
-        return F.when(cell.rlike(ISO_DATE), cell.try_cast("date"))
-    return cell.try_cast(kind)
+        return f"case when {matches(column, ISO_DATE)} then try_cast({column} as date) end"
+    return f"try_cast({column} as {kind})"
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    return reduce(or_, conditions)
+def any_missing(columns: Iterable[str]) -> str:
+    return "(" + " or ".join(f"{c} is null" for c in columns) + ")"
 
 
-def all_of(conditions: Iterable[Column]) -> Column:
-    return reduce(and_, conditions)
+def all_present(columns: Iterable[str]) -> str:
+    return "(" + " and ".join(f"{c} is not null" for c in columns) + ")"
 
 
-def required_missing(contract: TableContract) -> Column:
-    return any_of(F.col(c).isNull() for c in contract.required)
-
-
-def unparsed(contract: TableContract, column: str, strict_dates: bool = False) -> Column:
+def unparsed(contract: TableContract, column: str, strict_dates: bool = False) -> str:
     """A cell that has text but no typed value."""
-    return F.col(column).isNotNull() & typed(contract, column, strict_dates).isNull()
+    return f"({column} is not null and ({typed(contract, column, strict_dates)}) is null)"
 
 
-def not_positive(contract: TableContract, column: str) -> Column:
+def not_positive(contract: TableContract, column: str) -> str:
     """A cell that has text but is not an integer above zero."""
-    return F.col(column).isNotNull() & ~F.coalesce(typed(contract, column) > 0, F.lit(False))
+    return f"({column} is not null and not coalesce({typed(contract, column)} > 0, false))"
 
 
-def reasons(violations: Iterable[tuple[str, Column]]) -> Column:
+def reasons(violations: Iterable[tuple[str, str]]) -> str:
     """Codes of the broken rules in list order; '' for a row that breaks none.
 
     A condition that is null counts as not broken.
@@ -75,20 +73,17 @@ def reasons(violations: Iterable[tuple[str, Column]]) -> Column:
     for code, broken in violations:
         if code not in RULES:
             raise ValueError(f"rule {code!r} is not in the catalogue")
-        codes.append(F.when(broken, F.lit(code)))
-    return F.concat_ws(REASON_SEPARATOR, *codes)
-
-
-def is_valid() -> Column:
-    return F.col(REASONS) == ""
+        codes.append(f"case when {broken} then '{code}' end")
+    return f"concat_ws('{REASON_SEPARATOR}', {', '.join(codes)})"
 
 
-def key_text(contract: TableContract) -> Column:
+def key_text(contract: TableContract) -> str:
     """Natural key as readable text, with a mark for the missing parts."""
-    parts = [F.coalesce(F.col(c), F.lit(MISSING_KEY_PART)) for c in contract.key]
-    return F.concat_ws(KEY_SEPARATOR, *parts)
+    parts = ", ".join(f"coalesce({c}, '{MISSING_KEY_PART}')" for c in contract.key)
+    return f"concat_ws('{KEY_SEPARATOR}', {parts})"
 
 
-def record_json(contract: TableContract) -> Column:
+def record_json(contract: TableContract) -> str:
     """The row as it was read (normalised text), nulls kept, in contract order."""
-    return F.to_json(F.struct(*contract.columns), {"ignoreNullFields": "false"})
+    struct = f"struct({', '.join(contract.columns)})"
+    return f"to_json({struct}, map('ignoreNullFields', 'false'))"

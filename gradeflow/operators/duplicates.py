@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradeflow.contract import REASON_SEPARATOR, REASONS, ROW, TableContract
-from gradeflow.functions.rules import all_of, is_valid
+from gradeflow.functions.rules import IS_VALID, all_present
 from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, attach, hot_threshold
 
 DUPLICATE = "REGISTRO_DUPLICADO"
@@ -23,16 +23,15 @@ DUPLICATE = "REGISTRO_DUPLICADO"
 
 def repeated_keys(flagged: DataFrame, contract: TableContract) -> DataFrame:
     """Complete keys that occur more than once: copies and the row that stays."""
-    complete = all_of(F.col(c).isNotNull() for c in contract.key)
-    first_clean = F.min(F.when(is_valid(), F.col(ROW)))
+    first_clean = F.expr(f"min(case when {IS_VALID} then {ROW} end)")
     return (
-        flagged.filter(complete)
+        flagged.filter(all_present(contract.key))
         .groupBy(*contract.key)
         .agg(
             F.count(F.lit(1)).alias("copias"),
             F.coalesce(first_clean, F.min(ROW)).alias("conserva"),
         )
-        .filter(F.col("copias") > 1)
+        .filter("copias > 1")
     )
 
 
@@ -53,17 +52,18 @@ def mark_duplicates(
     key = list(contract.key)
     others = [c for c in flagged.columns if c != REASONS]
     if repeated is None and rows <= limits.one_task_rows:
-        order = W.partitionBy(*key).orderBy((~is_valid()).cast("int"), ROW)
+        order = W.partitionBy(*key).orderBy(F.expr(f"not {IS_VALID}"), ROW)
         looked = flagged.withColumn("_rank", F.row_number().over(order))
-        complete = all_of(F.col(c).isNotNull() for c in key)
-        superseded = complete & (F.col("_rank") > 1)
+        superseded = f"{all_present(key)} and _rank > 1"
     else:
         if repeated is None:
             repeated = repeated_keys(flagged, contract)
         hot = repeated.filter(F.col("copias") > hot_threshold(rows)).select(*key)
         kept = repeated.select(*key, "conserva")
         looked = attach(flagged, kept, key, "_repeated", size=size, hot=hot, limits=limits)
-        superseded = F.col("_repeated.conserva") != F.col(ROW)
-    earlier = F.when(~is_valid(), F.col(REASONS))
-    merged = F.concat_ws(REASON_SEPARATOR, earlier, F.when(superseded, F.lit(DUPLICATE)))
-    return looked.select(*others, merged.alias(REASONS))
+        superseded = f"_repeated.conserva <> {ROW}"
+    merged = (
+        f"concat_ws('{REASON_SEPARATOR}', nullif({REASONS}, ''),"
+        f" case when {superseded} then '{DUPLICATE}' end)"
+    )
+    return looked.selectExpr(*others, f"{merged} as {REASONS}")

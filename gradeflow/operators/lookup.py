@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeflow.contract import ROW
-from gradeflow.functions.rules import all_of
+from gradeflow.functions.rules import all_present
 
 # A key is hot when it holds more than one in HOT_KEYS of the rows, so there can
 # never be more than HOT_KEYS hot keys, however large the table.
@@ -63,7 +63,7 @@ def hot_threshold(rows: int) -> int:
 
 def hot_keys(facts: DataFrame, key: Sequence[str], rows: int) -> DataFrame:
     """Keys of more than one in ``HOT_KEYS`` rows; counted map-side first."""
-    counted = facts.filter(all_of(F.col(c).isNotNull() for c in key)).groupBy(*key).count()
+    counted = facts.filter(all_present(key)).groupBy(*key).count()
     return counted.filter(F.col("count") > hot_threshold(rows)).select(*key)
 
 
@@ -86,7 +86,7 @@ def attach(
     the facts that differs from row to row, by which settled rows are dealt out.
     """
     key = list(key)
-    packed = reference.select(*key, F.struct(*[c for c in reference.columns]).alias(name))
+    packed = reference.select(*key, F.struct(*reference.columns).alias(name))
     if limits.broadcasts(size):
         return facts.join(F.broadcast(packed), key, "left").select(*facts.columns, name)
 
@@ -96,11 +96,11 @@ def attach(
         facts = facts.join(F.broadcast(answers), key, "left")
     else:
         facts = facts.withColumn("_hot", F.lit(None).cast(packed.schema[name].dataType))
-    settled = F.col("_hot").isNotNull() | ~all_of(F.col(c).isNotNull() for c in key)
     # NUL never starts a trimmed cell; were it to, `_hot` still wins below.
-    private = F.when(settled, F.concat(F.lit("\0"), F.col(spread).cast("string")))
+    settled = f"_hot is not null or not {all_present(key)}"
+    first = F.expr(f"if({settled}, concat(char(0), cast({spread} as string)), {key[0]})")
     shuffle_key = ["_first", *key[1:]]
-    left = facts.withColumn("_first", F.coalesce(private, F.col(key[0])))
+    left = facts.withColumn("_first", first)
     right = packed.select(F.col(key[0]).alias("_first"), *key[1:], F.col(name).alias("_found"))
     joined = left.join(right, shuffle_key, "left")
     return joined.select(*columns, F.coalesce("_hot", "_found").alias(name))

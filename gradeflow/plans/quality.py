@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS, DIMENSIONS, MASTERS, REASONS, RULES
-from gradeflow.functions.rules import is_valid
+from gradeflow.functions.rules import IS_VALID
 
 # Wording of the checks and of the decision.
 TABLE_CHECK = "Rechazo en %s"
@@ -33,13 +33,11 @@ def check_tolerance(tolerance: float) -> float:
 
 def table_counts(checked: dict[str, DataFrame]) -> DataFrame:
     """Rows received, accepted and rejected per table; empty tables included."""
-    accepted = F.coalesce(F.sum(is_valid().cast("int")), F.lit(0))
-    rejected = F.coalesce(F.sum((~is_valid()).cast("int")), F.lit(0))
     parts = [
         df.agg(
             F.count(F.lit(1)).alias("recibidas"),
-            accepted.alias("aceptadas"),
-            rejected.alias("rechazadas"),
+            F.expr(f"count_if({IS_VALID})").alias("aceptadas"),
+            F.expr(f"count_if(not {IS_VALID})").alias("rechazadas"),
         ).select(F.lit(name).alias("tabla"), "recibidas", "aceptadas", "rechazadas")
         for name, df in checked.items()
     ]
@@ -49,7 +47,7 @@ def table_counts(checked: dict[str, DataFrame]) -> DataFrame:
 def reason_counts(checked: dict[str, DataFrame]) -> DataFrame:
     """Rows per table and reason; a row counts once for each reason it has."""
     parts = [
-        df.filter(~is_valid()).select(F.lit(name).alias("tabla"), REASONS)
+        df.filter(f"not {IS_VALID}").select(F.lit(name).alias("tabla"), REASONS)
         for name, df in checked.items()
     ]
     reason = F.explode(F.split(REASONS, r"\|")).alias("motivo")

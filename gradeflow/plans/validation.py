@@ -11,18 +11,19 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS, FACTS, MASTERS, POLICY, REASONS, ROW, TableContract, contract
 from gradeflow.functions.rules import (
     EMAIL,
-    is_valid,
+    IS_VALID,
+    any_missing,
     key_text,
+    matches,
     not_positive,
     reasons,
     record_json,
-    required_missing,
     typed,
     unparsed,
 )
@@ -31,63 +32,63 @@ from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, attach, hot
 from gradeflow.sources.bronze import profile
 from gradeflow.sources.workspace import Workspace, measure
 
-Violations = list[tuple[str, Column]]
-
-
-def _present(column: str) -> Column:
-    return F.col(column).isNotNull()
+Violations = list[tuple[str, str]]
 
 
 def _semestres(t: TableContract, strict: bool) -> Violations:
-    bad_date = unparsed(t, "fecha_inicio", strict) | unparsed(t, "fecha_fin", strict)
+    bad_date = f"{unparsed(t, 'fecha_inicio', strict)} or {unparsed(t, 'fecha_fin', strict)}"
     return [("NUMERO_INVALIDO", not_positive(t, "numero")), ("FECHA_INVALIDA", bad_date)]
 
 
+_UNKNOWN_TERM = ("SEMESTRE_INEXISTENTE", "semestre_id is not null and semestre is null")
+
+
 def _cursos(t: TableContract, strict: bool) -> Violations:
-    return [
-        ("NUMERO_INVALIDO", not_positive(t, "creditos") | not_positive(t, "horas_semanales")),
-        ("SEMESTRE_INEXISTENTE", _present("semestre_id") & F.col("semestre").isNull()),
-    ]
+    bad_number = f"{not_positive(t, 'creditos')} or {not_positive(t, 'horas_semanales')}"
+    return [("NUMERO_INVALIDO", bad_number), _UNKNOWN_TERM]
 
 
 def _estudiantes(t: TableContract, strict: bool) -> Violations:
-    return [
-        ("CORREO_INVALIDO", ~F.col("correo").rlike(EMAIL)),
-        ("SEMESTRE_INEXISTENTE", _present("semestre_id") & F.col("semestre").isNull()),
-    ]
+    return [("CORREO_INVALIDO", f"not {matches('correo', EMAIL)}"), _UNKNOWN_TERM]
 
 
-def _enrolment() -> Violations:
-    """Rules every fact shares: its student and course exist and agree."""
-    return [
-        ("ESTUDIANTE_INEXISTENTE", _present("estudiante_id") & F.col("estudiante").isNull()),
-        ("CURSO_INEXISTENTE", _present("curso_id") & F.col("curso").isNull()),
-        ("CURSO_DE_OTRO_SEMESTRE", F.col("estudiante.semestre_id") != F.col("curso.semestre_id")),
-        ("PERIODO_INCONSISTENTE", F.col("periodo") != F.col("curso.periodo")),
-    ]
+# Rules every fact shares: its student and course exist and agree.
+_ENROLMENT_RULES: Violations = [
+    ("ESTUDIANTE_INEXISTENTE", "estudiante_id is not null and estudiante is null"),
+    ("CURSO_INEXISTENTE", "curso_id is not null and curso is null"),
+    ("CURSO_DE_OTRO_SEMESTRE", "estudiante.semestre_id <> curso.semestre_id"),
+    ("PERIODO_INCONSISTENTE", "periodo <> curso.periodo"),
+]
 
 
 def _notas(t: TableContract, strict: bool) -> Violations:
     nota, peso = typed(t, "nota"), typed(t, "peso")
-    weight_ok = F.coalesce((peso > 0) & (peso <= 1), F.lit(False))
     return [
         ("NOTA_NO_NUMERICA", unparsed(t, "nota")),
-        ("NOTA_FUERA_DE_RANGO", ~nota.between(POLICY.min_score, POLICY.max_score)),
-        ("PESO_INVALIDO", _present("peso") & ~weight_ok),
+        (
+            "NOTA_FUERA_DE_RANGO",
+            f"{nota} not between double({POLICY.min_score}) and double({POLICY.max_score})",
+        ),
+        (
+            "PESO_INVALIDO",
+            f"peso is not null and not coalesce({peso} > 0 and {peso} <= 1, false)",
+        ),
         ("FECHA_INVALIDA", unparsed(t, "fecha_registro", strict)),
-        *_enrolment(),
+        *_ENROLMENT_RULES,
     ]
 
 
 def _asistencia(t: TableContract, strict: bool) -> Violations:
-    fecha = typed(t, "fecha", strict)
-    outside = (fecha < F.col("curso.fecha_inicio")) | (fecha > F.col("curso.fecha_fin"))
+    states = ", ".join(f"'{state}'" for state in POLICY.attendance_states)
     return [
         ("NUMERO_INVALIDO", not_positive(t, "semana")),
         ("FECHA_INVALIDA", unparsed(t, "fecha", strict)),
-        ("FECHA_FUERA_DE_PERIODO", outside),
-        ("ESTADO_INVALIDO", ~typed(t, "estado").isin(*POLICY.attendance_states)),
-        *_enrolment(),
+        (
+            "FECHA_FUERA_DE_PERIODO",
+            f"({typed(t, 'fecha', strict)}) not between curso.fecha_inicio and curso.fecha_fin",
+        ),
+        ("ESTADO_INVALIDO", f"{typed(t, 'estado')} not in ({states})"),
+        *_ENROLMENT_RULES,
     ]
 
 
@@ -147,18 +148,18 @@ ACADEMIC_RULES: dict[str, TableRules] = {
 
 def to_silver(checked: DataFrame, table: TableContract, strict_dates: bool = False) -> DataFrame:
     """Valid rows with their Silver types."""
-    cells = [typed(table, c, strict_dates).alias(c) for c in table.columns]
-    return checked.filter(is_valid()).select(*cells)
+    cells = [f"{typed(table, c, strict_dates)} as {c}" for c in table.columns]
+    return checked.filter(IS_VALID).selectExpr(*cells)
 
 
 def to_quarantine(checked: DataFrame, table: TableContract) -> DataFrame:
     """Rejected rows: where they came from, why, and the record as it was read."""
-    return checked.filter(~is_valid()).select(
-        F.lit(table.name).alias("tabla"),
+    return checked.filter(f"not {IS_VALID}").selectExpr(
+        f"'{table.name}' as tabla",
         ROW,
-        key_text(table).alias("clave"),
+        f"{key_text(table)} as clave",
         REASONS,
-        record_json(table).alias("registro"),
+        f"{record_json(table)} as registro",
     )
 
 
@@ -208,8 +209,8 @@ def flag(
         if reference.columns[0] != lookup.key:
             reference = reference.withColumnRenamed(reference.columns[0], lookup.key)
         looked = attach(looked, reference, [lookup.key], lookup.name, size=size, hot=hot, limits=limits)
-    broken = [("CAMPO_REQUERIDO", required_missing(table)), *rules.violations(table, strict_dates)]
-    return looked.select(*table.columns, ROW, reasons(broken).alias(REASONS))
+    broken = [("CAMPO_REQUERIDO", any_missing(table.required)), *rules.violations(table, strict_dates)]
+    return looked.selectExpr(*table.columns, ROW, f"{reasons(broken)} as {REASONS}")
 
 
 def validate(

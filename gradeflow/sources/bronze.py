@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS, MASTERS, POLICY, ROW, Policy, TableContract, contract
@@ -14,15 +14,15 @@ from gradeflow.operators.numbering import number_parquet, number_tagged, tag_spl
 from gradeflow.sources.workspace import Workspace, text_size, to_size
 
 
-def cell(column: str) -> Column:
+def cell(sql: str, column: str) -> str:
     """A cell without surrounding blanks; null when nothing is left."""
-    return F.nullif(F.trim(column), F.lit("")).alias(column)
+    return f"nullif(trim({sql}), '') as {column}"
 
 
 def normalise(df: DataFrame, table: TableContract) -> DataFrame:
     """Contract columns as normalised cells; other columns pass unchanged."""
     extra = [c for c in df.columns if c not in table.columns]
-    return df.select(*[cell(c) for c in table.columns], *extra)
+    return df.selectExpr(*[cell(c, c) for c in table.columns], *extra)
 
 
 def _existing(table: TableContract, folder: str, load):
@@ -63,8 +63,8 @@ def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
         table, folder, lambda: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     )
     numbered = number_parquet(raw)
-    texts = [F.col(c).cast("string").alias(c) for c in table.columns]
-    return normalise(numbered.select(*texts, ROW), table)
+    cells = [cell(f"cast({c} as string)", c) for c in table.columns]
+    return numbered.selectExpr(*cells, ROW)
 
 
 def read_bronze(
@@ -114,15 +114,14 @@ def limit_report(bronze: dict[str, DataFrame], policy: Policy = POLICY) -> DataF
     parts = []
     for name, df in bronze.items():
         columns = contract(name).columns
-        longest = F.greatest(F.lit(0), *[F.coalesce(F.length(c), F.lit(0)) for c in columns])
-        size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0))
-        parts.append(
-            df.agg(
-                F.count(F.lit(1)).alias("filas"),
-                F.coalesce(F.sum(size), F.lit(0)).alias("bytes"),
-                F.coalesce(F.max(longest), F.lit(0)).alias("celda_mas_larga"),
-            ).withColumn("tabla", F.lit(name))
+        longest = ", ".join(f"coalesce(length({c}), 0)" for c in columns)
+        size = " + ".join(f"coalesce(octet_length({c}), 0)" for c in columns)
+        limits = df.agg(
+            F.expr("count(1) as filas"),
+            F.expr(f"coalesce(sum({size}), 0) as bytes"),
+            F.expr(f"coalesce(max(greatest({longest})), 0) as celda_mas_larga"),
         )
+        parts.append(limits.withColumn("tabla", F.lit(name)))
     within = (
         (F.col("filas") <= policy.max_rows_per_table)
         & (F.col("bytes") <= policy.max_bytes_per_table)

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeflow.contract import CONTRACTS, ROW
+from gradeflow.contract import ROW
 from gradeflow.operators.numbering import number_parquet
-from gradeflow.sources.bronze import normalise
+from gradeflow.sources.bronze import cell
 
 # Per table: the numbered source, what it is joined with, and column -> expression.
 MAPPING: dict[str, tuple[str, tuple[str, str] | None, dict[str, str]]] = {
@@ -115,8 +115,7 @@ def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
         left, right = condition.split("=")
         parent = spark.read.parquet(f"{folder}/{other}.parquet")
         rows = rows.join(parent, rows[left] == parent[right])
-    texts = rows.selectExpr(*[f"{sql} as {column}" for column, sql in columns.items()], ROW)
-    return normalise(texts, CONTRACTS[name])
+    return rows.selectExpr(*[cell(sql, column) for column, sql in columns.items()], ROW)
 
 
 def academic_batch(

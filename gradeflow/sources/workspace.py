@@ -42,12 +42,12 @@ def text_size(df: DataFrame) -> list[Column]:
     Text counts by its length, every cell by a word and every row by a header, as
     in Spark's binary rows.
     """
-    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
-    row_bytes = sum(texts, F.lit(8 * (len(df.columns) + 2)).cast("long"))
+    texts = [f"coalesce(octet_length(cast({c} as string)), 0)" for c in df.columns]
+    row_bytes = f"bigint({8 * (len(df.columns) + 2)}) + " + " + ".join(texts)
     return [
-        F.count(F.lit(1)).alias("filas"),
-        F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max(row_bytes), F.lit(0)).alias("mayor"),
+        F.expr("count(1) as filas"),
+        F.expr(f"coalesce(sum({row_bytes}), 0) as bytes"),
+        F.expr(f"coalesce(max({row_bytes}), 0) as mayor"),
     ]
 
 

@@ -517,8 +517,8 @@ def _csv(columns: dict[str, str], table: str) -> str:
     cells = []
     for c, kind in columns.items():
         if kind == "double":
-            plain = f"CAST(CAST({c} AS DECIMAL(38,12)) AS VARCHAR)"
-            cells.append(f"rtrim(rtrim({plain}, '0'), '.') AS {c}")
+            # The values neither are tiny nor huge, so none prints an exponent.
+            cells.append(f"regexp_replace(CAST({c} AS VARCHAR), '\\.0$', '') AS {c}")
         elif kind == "text":
             risky = f"left({c}, 1) IN ('=', '+', '-', '@', chr(9), chr(13))"
             cells.append(f"CASE WHEN {risky} THEN chr(39) || {c} ELSE {c} END AS {c}")
