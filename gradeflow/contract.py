@@ -15,13 +15,18 @@ REASONS = "motivos"
 
 @dataclass(frozen=True)
 class TableContract:
-    """Columns of one input table in file order, with the type Silver gives them."""
+    """Columns of one input table in file order, with the type Silver gives them.
+
+    ``cluster`` is the part of the key that later steps also group by, so that one
+    shuffle on it serves them all; the whole key when empty.
+    """
 
     name: str
     description: str
     types: dict[str, str]
     key: tuple[str, ...]
     optional: frozenset[str] = frozenset()
+    cluster: tuple[str, ...] = ()
 
     @property
     def columns(self) -> tuple[str, ...]:
@@ -31,6 +36,10 @@ class TableContract:
     def required(self) -> tuple[str, ...]:
         return tuple(c for c in self.types if c not in self.optional)
 
+    @property
+    def clustered_by(self) -> tuple[str, ...]:
+        return self.cluster or self.key
+
     def text_schema(self) -> T.StructType:
         """Bronze schema: every column nullable text, never inferred."""
         return T.StructType([T.StructField(c, T.StringType(), True) for c in self.types])
@@ -110,6 +119,7 @@ CONTRACTS: dict[str, TableContract] = {
             },
             ("estudiante_id", "curso_id", "periodo", "evaluacion"),
             frozenset({"nota", "fecha_registro"}),
+            ("estudiante_id", "curso_id", "periodo"),
         ),
         TableContract(
             "asistencia",
@@ -123,6 +133,7 @@ CONTRACTS: dict[str, TableContract] = {
                 "estado": "string",
             },
             ("estudiante_id", "curso_id", "periodo", "semana"),
+            cluster=("estudiante_id", "curso_id", "periodo"),
         ),
     )
 }

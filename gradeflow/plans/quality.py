@@ -50,8 +50,13 @@ def reason_counts(checked: dict[str, DataFrame]) -> DataFrame:
         df.filter(f"not {IS_VALID}").select(F.lit(name).alias("tabla"), REASONS)
         for name, df in checked.items()
     ]
+    return count_reasons(reduce(DataFrame.unionByName, parts))
+
+
+def count_reasons(rejected: DataFrame) -> DataFrame:
+    """The same from a quarantine table."""
     reason = F.explode(F.split(REASONS, r"\|")).alias("motivo")
-    exploded = reduce(DataFrame.unionByName, parts).select("tabla", reason)
+    exploded = rejected.select("tabla", reason)
     return exploded.groupBy("tabla", "motivo").agg(F.count(F.lit(1)).alias("filas"))
 
 

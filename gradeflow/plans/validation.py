@@ -232,18 +232,29 @@ def validate(
     sizes = sizes or profile(bronze)
     result = Validation({}, {}, sizes)
     for name, df in bronze.items():
-        table = contract(name)
+        table, rows = contract(name), sizes[name].rows
+        one_task = rows <= limits.one_task_rows
+        if one_task:
+            # Duplicates are ranked per key anyway: dealing the rows out first lets
+            # a table that came in one split be checked by all cores.
+            df = df.repartition(*table.clustered_by)
         flagged = flag(df, table, rules[name], result.silver, sizes, strict_dates, limits)
         repeated = size = None
-        if workspace is not None:
+        if workspace is not None and not one_task:
             flagged = workspace.land(f"flagged/{name}", flagged)
             repeated = workspace.land(f"repeated/{name}", repeated_keys(flagged, table))
             size = measure(repeated)
-        checked = mark_duplicates(flagged, table, sizes[name].rows, repeated, size, limits)
-        silver = to_silver(checked, table, strict_dates)
-        if workspace is not None and name in MASTERS:
-            silver = workspace.land(f"masters/{name}", silver)
+        checked = mark_duplicates(flagged, table, rows, repeated, size, limits)
+        if workspace is not None and (repeated is None or not limits.broadcasts(size)):
+            checked = workspace.land(f"checked/{name}", checked)
+            clean = checked
+        else:
+            # Among the clean rows of a key the first stays, whatever the others are.
+            clean = flagged.filter(IS_VALID)
+            clean = mark_duplicates(clean, table, rows, repeated, size, limits)
         result.flagged[name] = flagged
         result.checked[name] = checked
-        result.silver[name] = silver
+        result.silver[name] = to_silver(clean, table, strict_dates)
+        if workspace is not None and name in MASTERS:
+            result.silver[name] = workspace.land(f"masters/{name}", result.silver[name])
     return result
