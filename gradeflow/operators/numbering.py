@@ -28,6 +28,11 @@ def tag_splits(df: DataFrame) -> DataFrame:
     )
 
 
+def number_single_split(df: DataFrame) -> DataFrame:
+    """Row numbers of a source that is read by one task: the scan order itself."""
+    return df.select("*", (F.monotonically_increasing_id() + FIRST_ROW).alias(ROW))
+
+
 def split_offsets(tagged: DataFrame) -> DataFrame:
     """Per split: its first scan id and the records in all splits before it."""
     totals = tagged.groupBy(*SPLIT).agg(
@@ -48,14 +53,13 @@ def split_offsets(tagged: DataFrame) -> DataFrame:
     )
 
 
-def number_tagged(tagged: DataFrame) -> DataFrame:
-    """Turn the tags into row numbers.
+def number_tagged(tagged: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Turn the tags into row numbers, with the ``split_offsets`` of the same table.
 
-    ``tagged`` is read twice, so it must be a written table: scan ids are only
-    stable once they are stored.
+    ``tagged`` must be a written table: scan ids are only stable once stored.
     """
     columns = [c for c in tagged.columns if c not in (*SPLIT, "_scan")]
-    numbered = tagged.join(F.broadcast(split_offsets(tagged)), list(SPLIT))
+    numbered = tagged.join(F.broadcast(offsets), list(SPLIT))
     return numbered.select(*columns, (F.col("_scan") + F.col("_shift") + FIRST_ROW).alias(ROW))
 
 

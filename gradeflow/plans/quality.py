@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS, DIMENSIONS, MASTERS, REASONS, RULES
 from gradeflow.functions.rules import IS_VALID
+from gradeflow.sources.workspace import literal_frame
 
 # Wording of the checks and of the decision.
 TABLE_CHECK = "Rechazo en %s"
@@ -68,7 +69,7 @@ def reason_order() -> list[Column]:
 
 def rule_catalogue(spark: SparkSession) -> DataFrame:
     rows = [(code, dimension, text) for code, (dimension, text) in RULES.items()]
-    return spark.createDataFrame(rows, "motivo string, dimension string, descripcion string")
+    return literal_frame(spark, ["motivo", "dimension", "descripcion"], rows)
 
 
 def reason_quality(reasons: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def dimension_totals(reasons: DataFrame) -> DataFrame:
     """Reasons per quality dimension; every dimension is present."""
     spark = reasons.sparkSession
     places = [(name, place) for place, name in enumerate(DIMENSIONS, start=1)]
-    every = spark.createDataFrame(places, "dimension string, orden int")
+    every = literal_frame(spark, ["dimension", "orden"], places)
     totals = reason_quality(reasons).groupBy("dimension").agg(F.sum("filas").alias("filas"))
     return every.join(totals, "dimension", "left").select(
         "dimension", "orden", F.coalesce("filas", F.lit(0)).alias("filas")

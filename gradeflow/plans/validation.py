@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from gradeflow.functions.rules import (
 from gradeflow.operators.duplicates import mark_duplicates, repeated_keys
 from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, attach, hot_keys
 from gradeflow.sources.bronze import profile
-from gradeflow.sources.workspace import Workspace, measure
+from gradeflow.sources.workspace import Workspace, measure, side_by_side
 
 Violations = list[tuple[str, str]]
 
@@ -137,6 +137,9 @@ _ENROLMENT = (
     Lookup("cursos", "curso_id", "curso"),
 )
 
+# Tables that do not refer to each other, parents first.
+WAVES = (("semestres",), ("cursos", "estudiantes"), FACTS)
+
 ACADEMIC_RULES: dict[str, TableRules] = {
     "semestres": TableRules(_semestres),
     "cursos": TableRules(_cursos, _TERM),
@@ -231,8 +234,9 @@ def validate(
     bronze = {name: bronze[name] for name in CONTRACTS if name in tables}
     sizes = sizes or profile(bronze)
     result = Validation({}, {}, sizes)
-    for name, df in bronze.items():
-        table, rows = contract(name), sizes[name].rows
+
+    def check(name: str) -> None:
+        table, rows, df = contract(name), sizes[name].rows, bronze[name]
         one_task = rows <= limits.one_task_rows
         if one_task:
             # Duplicates are ranked per key anyway: dealing the rows out first lets
@@ -245,9 +249,9 @@ def validate(
             repeated = workspace.land(f"repeated/{name}", repeated_keys(flagged, table))
             size = measure(repeated)
         checked = mark_duplicates(flagged, table, rows, repeated, size, limits)
-        if workspace is not None and (repeated is None or not limits.broadcasts(size)):
-            checked = workspace.land(f"checked/{name}", checked)
-            clean = checked
+        # Written unless marking again is as cheap as reading: a broadcast lookup.
+        if workspace is not None and (name in MASTERS or not limits.broadcasts(size)):
+            checked = clean = workspace.land(f"checked/{name}", checked)
         else:
             # Among the clean rows of a key the first stays, whatever the others are.
             clean = flagged.filter(IS_VALID)
@@ -255,6 +259,10 @@ def validate(
         result.flagged[name] = flagged
         result.checked[name] = checked
         result.silver[name] = to_silver(clean, table, strict_dates)
-        if workspace is not None and name in MASTERS:
-            result.silver[name] = workspace.land(f"masters/{name}", result.silver[name])
+
+    for wave in WAVES:
+        side_by_side({name: partial(check, name) for name in wave if name in bronze})
+    for layer in (result.checked, result.silver, result.flagged):
+        for name in bronze:
+            layer[name] = layer.pop(name)
     return result

@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS, MASTERS, POLICY, ROW, Policy, TableContract, contract
 from gradeflow.operators.lookup import Size
-from gradeflow.operators.numbering import number_parquet, number_tagged, tag_splits
-from gradeflow.sources.workspace import Workspace, text_size, to_size
+from gradeflow.operators.numbering import (
+    number_parquet,
+    number_single_split,
+    number_tagged,
+    split_offsets,
+    tag_splits,
+)
+from gradeflow.sources.workspace import Workspace, side_by_side, text_size, to_size
 
 
 def cell(sql: str, column: str) -> str:
@@ -40,7 +46,8 @@ def read_csv(
     """Read ``<folder>/<name>.csv``, a file or a folder of files, any Hadoop URI.
 
     Columns bind by position; ``check_header`` makes a header that differs from
-    the contract an error.  The result is a written table, see ``number_tagged``.
+    the contract an error.  A table read in several splits is written to the
+    workspace, see ``number_tagged``.
     """
     table = contract(name)
     reader = (
@@ -52,8 +59,11 @@ def read_csv(
         .option("enforceSchema", not check_header)
     )
     raw = _existing(table, folder, lambda: reader.csv(f"{folder.rstrip('/')}/{name}.csv"))
+    if raw.rdd.getNumPartitions() == 1:
+        return normalise(number_single_split(raw), table)
     landed = workspace.land(f"bronze/{name}", normalise(tag_splits(raw), table))
-    return number_tagged(landed)
+    offsets = workspace.land(f"offsets/{name}", split_offsets(landed))
+    return number_tagged(landed, offsets)
 
 
 def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,9 +90,11 @@ def read_bronze(
     if fmt != "csv":
         raise ValueError(f"unknown input format {fmt!r}")
     workspace = workspace or Workspace(spark)
-    return {
-        name: read_csv(spark, folder, name, workspace, check_header) for name in CONTRACTS
-    }
+
+    def reading(name: str):
+        return lambda: read_csv(spark, folder, name, workspace, check_header)
+
+    return side_by_side({name: reading(name) for name in CONTRACTS})
 
 
 def table_profile(name: str, df: DataFrame, sized: bool) -> DataFrame:

@@ -8,13 +8,35 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gradeflow.operators.lookup import Size
 
 SETTING = "spark.checkpoint.dir"
+# Spark jobs submitted side by side; the cluster's scheduler shares its slots.
+SIDE_BY_SIDE = 8
+
+Result = TypeVar("Result")
+
+
+def side_by_side(tasks: dict[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent Spark actions at once, so that small jobs do not queue up."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        futures = {name: pool.submit(inherit(run)) for name, run in tasks.items()}
+        return {name: future.result() for name, future in futures.items()}
+
+
+def literal_frame(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A few known rows as a frame of literals, without a Python worker."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 class Workspace:
