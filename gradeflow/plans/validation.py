@@ -1,8 +1,8 @@
 """Validation: rules per table, parents before children, rejects into quarantine.
 
 Each table is checked against the *valid* rows of the tables it refers to, so a
-rejected parent also rejects its children.  The result is lazy unless a workspace
-is given; with one, frames that are read more than once are written in between.
+rejected parent also rejects its children.  For small tables the result is lazy;
+large ones are written to the workspace in between, as they are read repeatedly.
 """
 
 from __future__ import annotations
@@ -230,10 +230,15 @@ def validate(
 
     ``sizes`` are the measured table sizes (see ``profile``); they are taken here
     when not given.  ``limits`` say what may be broadcast or sent to one task.
+    With a ``workspace`` the checked tables are written there; tables beyond one
+    task always are, in a workspace of their own if need be, for they are read
+    more than once.
     """
     bronze = {name: bronze[name] for name in CONTRACTS if name in tables}
     sizes = sizes or profile(bronze)
     result = Validation({}, {}, sizes)
+    if workspace is None and any(sizes[t].rows > limits.one_task_rows for t in bronze):
+        workspace = Workspace(next(iter(bronze.values())).sparkSession)
 
     def check(name: str) -> None:
         table, rows, df = contract(name), sizes[name].rows, bronze[name]
