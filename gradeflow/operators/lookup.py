@@ -29,6 +29,8 @@ from gradeflow.functions.rules import all_present
 HOT_KEYS = 1000
 # A table of so few rows fits a single task, so none of its keys can overload one.
 ONE_TASK_ROWS = 1_000_000
+# Not worth spreading over tasks at all.
+TINY_ROWS = 50_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -48,6 +50,7 @@ class Limits:
 
     broadcast_bytes: int = BROADCAST_BYTES
     one_task_rows: int = ONE_TASK_ROWS
+    tiny_rows: int = TINY_ROWS
 
     def broadcasts(self, size: Size | None) -> bool:
         return size is not None and size.bytes <= self.broadcast_bytes

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradeflow.contract import ROW
+from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size
 
 FIRST_ROW = 2
 SPLIT = ("_file", "_block")
@@ -48,26 +49,33 @@ def split_offsets(tagged: DataFrame) -> DataFrame:
     block_offsets = totals.select(
         *SPLIT, "_first", F.coalesce(F.sum("_records").over(in_file), F.lit(0)).alias("_blocks_before")
     )
-    return block_offsets.join(F.broadcast(file_offsets), "_file").select(
+    return block_offsets.join(file_offsets, "_file").select(
         *SPLIT, (F.col("_files_before") + F.col("_blocks_before") - F.col("_first")).alias("_shift")
     )
 
 
-def number_tagged(tagged: DataFrame, offsets: DataFrame) -> DataFrame:
+def number_tagged(
+    tagged: DataFrame, offsets: DataFrame, size: Size, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
     """Turn the tags into row numbers, with the ``split_offsets`` of the same table.
 
-    ``tagged`` must be a written table: scan ids are only stable once stored.
+    ``tagged`` must be a written table: scan ids are only stable once stored.  With
+    so many splits that their offsets are over the limit the rows are shuffled by
+    split, which are of much the same size.
     """
     columns = [c for c in tagged.columns if c not in (*SPLIT, "_scan")]
-    numbered = tagged.join(F.broadcast(offsets), list(SPLIT))
+    if limits.broadcasts(size):
+        offsets = F.broadcast(offsets)
+    numbered = tagged.join(offsets, list(SPLIT))
     return numbered.select(*columns, (F.col("_scan") + F.col("_shift") + FIRST_ROW).alias(ROW))
 
 
-def number_parquet(df: DataFrame) -> DataFrame:
+def number_parquet(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Row numbers of a Parquet scan, from the row index each file carries."""
     columns = df.columns
     position = F.col("_metadata.row_index")
-    if len(df.inputFiles()) <= 1:
+    paths = df.inputFiles()
+    if len(paths) <= 1:
         return df.select(*columns, (position + FIRST_ROW).alias(ROW))
     located = df.select(
         *columns, F.col("_metadata.file_path").alias("_file"), position.alias("_position")
@@ -77,7 +85,9 @@ def number_parquet(df: DataFrame) -> DataFrame:
     offsets = files.select(
         "_file", F.coalesce(F.sum("_records").over(before), F.lit(0)).alias("_files_before")
     )
-    numbered = located.join(F.broadcast(offsets), "_file")
+    # One row per file: a path and a number.
+    size = Size(len(paths), sum(len(path.encode()) + 64 for path in paths))
+    numbered = located.join(F.broadcast(offsets) if limits.broadcasts(size) else offsets, "_file")
     return numbered.select(
         *columns, (F.col("_files_before") + F.col("_position") + FIRST_ROW).alias(ROW)
     )

@@ -243,7 +243,9 @@ def validate(
     def check(name: str) -> None:
         table, rows, df = contract(name), sizes[name].rows, bronze[name]
         one_task = rows <= limits.one_task_rows
-        if one_task:
+        if rows <= min(limits.tiny_rows, limits.one_task_rows):
+            df = df.coalesce(1)
+        elif one_task:
             # Duplicates are ranked per key anyway: dealing the rows out first lets
             # a table that came in one split be checked by all cores.
             df = df.repartition(*table.clustered_by)

@@ -17,7 +17,7 @@ from gradeflow.operators.numbering import (
     split_offsets,
     tag_splits,
 )
-from gradeflow.sources.workspace import Workspace, side_by_side, text_size, to_size
+from gradeflow.sources.workspace import Workspace, measure, side_by_side, text_size, to_size
 
 
 def cell(sql: str, column: str) -> str:
@@ -63,7 +63,7 @@ def read_csv(
         return normalise(number_single_split(raw), table)
     landed = workspace.land(f"bronze/{name}", normalise(tag_splits(raw), table))
     offsets = workspace.land(f"offsets/{name}", split_offsets(landed))
-    return number_tagged(landed, offsets)
+    return number_tagged(landed, offsets, measure(offsets))
 
 
 def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:

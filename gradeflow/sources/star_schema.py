@@ -13,6 +13,19 @@ from gradeflow.contract import ROW
 from gradeflow.operators.numbering import number_parquet
 from gradeflow.sources.bronze import cell
 
+# The source columns that are used, with their types: nothing is inferred.
+SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long",
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
+}
+
 # Per table: the numbered source, what it is joined with, and column -> expression.
 MAPPING: dict[str, tuple[str, tuple[str, str] | None, dict[str, str]]] = {
     "semestres": (
@@ -106,14 +119,18 @@ MAPPING: dict[str, tuple[str, tuple[str, str] | None, dict[str, str]]] = {
 }
 
 
+def _read(spark: SparkSession, folder: str, source: str) -> DataFrame:
+    return spark.read.schema(SOURCES[source]).parquet(f"{folder}/{source}.parquet")
+
+
 def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Bronze of one table; its row number is the position in the source table."""
     source, join, columns = MAPPING[name]
-    rows = number_parquet(spark.read.parquet(f"{folder}/{source}.parquet"))
+    rows = number_parquet(_read(spark, folder, source))
     if join:
         other, condition = join
         left, right = condition.split("=")
-        parent = spark.read.parquet(f"{folder}/{other}.parquet")
+        parent = _read(spark, folder, other)
         rows = rows.join(parent, rows[left] == parent[right])
     return rows.selectExpr(*[cell(sql, column) for column, sql in columns.items()], ROW)
 
