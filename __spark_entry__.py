@@ -141,6 +141,16 @@ def _stage_rows(spark: SparkSession, folder: str) -> DataFrame:
     return quality.stage_rows(_counts(spark, folder))
 
 
+def _batch_result(spark: SparkSession, folder: str) -> DataFrame:
+    """The alert job's result when every reject is tolerated, so that Gold counts."""
+    result = _validated(spark, folder, *ALL)
+    counts, tolerance = quality.table_counts(result.checked), 1.0
+    checks = quality.gate_checks(counts, tolerance)
+    decision = quality.gate_decision(counts, checks, tolerance)
+    primary = ALERTS.primary.build(GoldInputs(result.silver, result.sizes))
+    return quality.batch_result(decision, primary)
+
+
 def _enrolments(spark: SparkSession, folder: str) -> DataFrame:
     return performance.enrolments(_inputs(spark, folder, "cursos", "estudiantes"))
 
@@ -197,6 +207,7 @@ def queries() -> dict[str, Query]:
     out["gate_checks"] = _gate_checks
     out["gate_decision"] = _gate_decision
     out["stage_rows"] = _stage_rows
+    out["batch_result"] = _batch_result
     out["enrolments"] = _enrolments
     out["grades_by_enrolment"] = _grades_by_enrolment
     out["attendance_by_enrolment"] = _attendance_by_enrolment

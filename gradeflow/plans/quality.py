@@ -119,31 +119,53 @@ def gate_checks(
 ) -> DataFrame:
     """All checks of the gate: name, whether passed, detail.
 
-    ``counts`` has one row per table, so everything here is tiny.  ``extra`` adds
-    checks of the same three columns.
+    ``counts`` has one row per table; the rows are folded into one list, so that
+    they are computed once.  ``extra`` adds checks of the same three columns.
     """
-    share = _share(F.col("rechazadas"), F.col("recibidas"))
-    percent = check_tolerance(tolerance) * 100
-    rejects = counts.select(
-        F.format_string(TABLE_CHECK, "tabla").alias("control"),
-        (share <= tolerance).alias("aprobado"),
-        F.format_string(
-            TABLE_DETAIL, "rechazadas", "recibidas", share * 100, F.lit(percent)
-        ).alias("detalle"),
+    check_tolerance(tolerance)
+    numbers = ["recibidas", "aceptadas", "rechazadas"]
+    folded = counts.agg(
+        F.collect_list(F.struct("tabla", *numbers)).alias("tablas"),
+        F.struct(*[F.sum(c).alias(c) for c in numbers]).alias("total"),
     )
-    masters = counts.filter(F.col("tabla").isin(*MASTERS)).select(
-        F.format_string(MASTER_CHECK, "tabla").alias("control"),
-        (F.col("aceptadas") > 0).alias("aprobado"),
-        F.format_string(MASTER_DETAIL, "aceptadas").alias("detalle"),
+
+    def check(name: Column, passed: Column, detail: Column) -> Column:
+        return F.struct(name.alias("control"), passed.alias("aprobado"), detail.alias("detalle"))
+
+    def within_tolerance(t: Column) -> Column:
+        share = _share(t["rechazadas"], t["recibidas"])
+        limit = F.lit(float(tolerance))
+        figures = (t["rechazadas"], t["recibidas"], share * 100, limit * 100)
+        return check(
+            F.format_string(TABLE_CHECK, t["tabla"]),
+            share <= limit,
+            F.format_string(TABLE_DETAIL, *figures),
+        )
+
+    def has_rows(t: Column) -> Column:
+        return check(
+            F.format_string(MASTER_CHECK, t["tabla"]),
+            t["aceptadas"] > 0,
+            F.format_string(MASTER_DETAIL, t["aceptadas"]),
+        )
+
+    received, accepted, rejected = (F.col(f"total.{c}") for c in numbers)
+    conserved = check(
+        F.lit(CONSERVATION_CHECK),
+        received == accepted + rejected,
+        F.format_string(CONSERVATION_DETAIL, received, accepted, rejected),
     )
-    received, accepted, rejected = (F.col(c) for c in ("recibidas", "aceptadas", "rechazadas"))
-    totals = counts.agg(*[F.sum(c).alias(c) for c in ("recibidas", "aceptadas", "rechazadas")])
-    conserved = totals.select(
-        F.lit(CONSERVATION_CHECK).alias("control"),
-        (received == accepted + rejected).alias("aprobado"),
-        F.format_string(CONSERVATION_DETAIL, received, accepted, rejected).alias("detalle"),
+    masters = F.filter("tablas", lambda t: t["tabla"].isin(*MASTERS))
+    checks = folded.select(
+        F.inline(
+            F.concat(
+                F.transform("tablas", within_tolerance),
+                F.transform(masters, has_rows),
+                F.array(conserved),
+            )
+        )
     )
-    return reduce(DataFrame.unionByName, [rejects, masters, *(extra or []), conserved])
+    return reduce(DataFrame.unionByName, extra or [], checks)
 
 
 def gate_decision(counts: DataFrame, checks: DataFrame, tolerance: float) -> DataFrame:
@@ -175,3 +197,22 @@ def stage_rows(counts: DataFrame) -> DataFrame:
         )
     ).alias("_stage")
     return counts.select("tabla", per_table).select("_stage.etapa", "tabla", "_stage.filas")
+
+
+def batch_result(decision: DataFrame, primary: DataFrame) -> DataFrame:
+    """One row: the decision in numbers and the rows of the primary Gold table.
+
+    Unlike the gate, the result gives an empty batch a rejected share of zero, and
+    Gold has no rows when it is not published.
+    """
+    share = F.when(F.col("recibidas") == 0, F.lit(0.0)).otherwise(
+        F.col("rechazadas") / F.col("recibidas")
+    )
+    columns = ["publicado", "recibidas", "aceptadas", "rechazadas", "tolerancia"]
+    head = decision.select(*columns, F.round(share, RATIO_DIGITS).alias("tasa_rechazo"))
+    rows = primary.agg(F.count(F.lit(1)).alias("filas"))
+    # One row each, stacked and folded.
+    stacked = head.unionByName(rows, allowMissingColumns=True)
+    folded = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    gold = F.when(F.col("publicado"), F.col("filas")).otherwise(F.lit(0).cast("long"))
+    return folded.select(*head.columns, gold.alias("filas_gold"))

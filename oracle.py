@@ -417,6 +417,13 @@ def _finals() -> dict[str, str]:
         " UNION ALL SELECT 'QUARANTINE', tabla, rechazadas FROM counts"
         " UNION ALL SELECT 'SILVER', tabla, aceptadas FROM counts"
     )
+    # With a tolerance of one only empty masters would block.
+    out["batch_result"] = (
+        "SELECT (SELECT bool_and(aceptadas > 0) FROM counts WHERE lugar < 3) AS publicado, recibidas,"
+        " aceptadas, rechazadas, CAST(1.0 AS DOUBLE) AS tolerancia, "
+        + half_up("rechazadas", "recibidas", 6)
+        + " AS tasa_rechazo, (SELECT count(*) FROM alertas) AS filas_gold FROM totals"
+    )
     out["enrolments"] = "SELECT * FROM matriculas"
     out["grades_by_enrolment"] = (
         "SELECT estudiante_id, curso_id, periodo, evaluaciones, evaluaciones_registradas,"

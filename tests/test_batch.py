@@ -137,6 +137,40 @@ def test_parquet_input(spark, tmp_path):
     assert result.published and result.rejected == 3 and result.gold_rows == 3
 
 
+def test_extension_points(spark, tmp_path):
+    """A further rule, check and format are plain arguments."""
+    from pyspark.sql import functions as F
+
+    from gradeflow.plans.validation import ACADEMIC_RULES, TableRules
+    from gradeflow.sinks.publish import FORMATS
+
+    lookups = ACADEMIC_RULES["estudiantes"].lookups
+    section = TableRules(lambda t, strict: [("NUMERO_INVALIDO", "seccion = 'B'")], lookups)
+    result = run_batch(
+        spark,
+        write_csv(worked_example(), tmp_path / "in"),
+        str(tmp_path / "out"),
+        ALERTS,
+        1.0,
+        rules={**ACADEMIC_RULES, "estudiantes": section},
+        extra_checks=[
+            lambda counts: counts.filter("tabla = 'notas'").select(
+                F.lit("Notas suficientes").alias("control"),
+                (F.col("aceptadas") >= 6).alias("aprobado"),
+                F.lit("").alias("detalle"),
+            )
+        ],
+        formats={**FORMATS, "orc": lambda df, path: df.write.orc(f"{path}.orc")},
+    )
+    # E3 of section B and with it two grades and four sessions are rejected.
+    assert (result.published, result.rejected) == (False, 7)
+    report = spark.read.json(f"{result.folder}/quality.json").first()
+    assert [c["control"] for c in report["controles"] if not c["aprobado"]] == ["Notas suficientes"]
+    assert spark.read.orc(f"{result.folder}/silver/notas.orc").count() == 4
+    stored = spark.read.json(f"{result.folder}/result.json").first()
+    assert (stored["received"], stored["rejected"], stored["published"]) == (23, 7, False)
+
+
 def test_missing_table_is_named(spark, tmp_path):
     folder = write_csv(worked_example(), tmp_path / "in")
     (tmp_path / "in/notas.csv").unlink()
