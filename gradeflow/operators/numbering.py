@@ -29,11 +29,6 @@ def tag_splits(df: DataFrame) -> DataFrame:
     )
 
 
-def number_single_split(df: DataFrame) -> DataFrame:
-    """Row numbers of a source that is read by one task: the scan order itself."""
-    return df.select("*", (F.monotonically_increasing_id() + FIRST_ROW).alias(ROW))
-
-
 def split_offsets(tagged: DataFrame) -> DataFrame:
     """Per split: its first scan id and the records in all splits before it."""
     totals = tagged.groupBy(*SPLIT).agg(

@@ -12,7 +12,6 @@ from gradeflow.contract import CONTRACTS, MASTERS, POLICY, ROW, Policy, TableCon
 from gradeflow.operators.lookup import Size
 from gradeflow.operators.numbering import (
     number_parquet,
-    number_single_split,
     number_tagged,
     split_offsets,
     tag_splits,
@@ -46,8 +45,8 @@ def read_csv(
     """Read ``<folder>/<name>.csv``, a file or a folder of files, any Hadoop URI.
 
     Columns bind by position; ``check_header`` makes a header that differs from
-    the contract an error.  A table read in several splits is written to the
-    workspace, see ``number_tagged``.
+    the contract an error.  The table is written to the workspace first, see
+    ``number_tagged``.
     """
     table = contract(name)
     reader = (
@@ -59,8 +58,6 @@ def read_csv(
         .option("enforceSchema", not check_header)
     )
     raw = _existing(table, folder, lambda: reader.csv(f"{folder.rstrip('/')}/{name}.csv"))
-    if raw.rdd.getNumPartitions() == 1:
-        return normalise(number_single_split(raw), table)
     landed = workspace.land(f"bronze/{name}", normalise(tag_splits(raw), table))
     offsets = workspace.land(f"offsets/{name}", split_offsets(landed))
     return number_tagged(landed, offsets, measure(offsets))
