@@ -55,13 +55,18 @@ def enrolments(inputs: GoldInputs) -> DataFrame:
     students = inputs.silver["estudiantes"].select(
         "estudiante_id", "nombres", "apellidos", "seccion", "semestre_id"
     )
-    size = None
-    if "cursos" in inputs.sizes and "semestres" in inputs.sizes:
-        terms_size, size = inputs.sizes["semestres"], inputs.sizes["cursos"]
-        size = Size(size.rows, size.bytes + size.rows * terms_size.widest)
+    size = _catalogue_size(inputs)
     return enrol(students, catalogue, "semestre_id", "estudiante_id", size, inputs.limits)
 
 
+def _catalogue_size(inputs: GoldInputs) -> Size | None:
+    """Bound on the courses with their terms: at most one widest term row each."""
+    terms, courses = inputs.sizes.get("semestres"), inputs.sizes.get("cursos")
+    if terms is None or courses is None:
+        return None
+    return Size(courses.rows, courses.bytes + courses.rows * terms.widest)
+
+
 def grades_by_enrolment(grades: DataFrame) -> DataFrame:
     """Scheduled and registered evaluations, weights and points per enrolment."""
     grade, weight = F.col("nota").cast(GRADE), F.col("peso").cast(WEIGHT)
@@ -101,7 +106,8 @@ def performance(inputs: GoldInputs) -> DataFrame:
     """One row per enrolment: grades, attendance, condition and alerts.
 
     The facts are aggregated to enrolments before they meet them, and the three
-    sides are joined on the same key, so each is shuffled once.
+    sides are joined on the same key, so each is shuffled once.  What describes a
+    course is added after the shuffle if it can be broadcast.
     """
     counts = [
         "evaluaciones",
@@ -112,12 +118,19 @@ def performance(inputs: GoldInputs) -> DataFrame:
         "faltas",
         "justificadas",
     ]
+    rows, described = enrolments(inputs), ["curso", "docente", "creditos"]
+    late = inputs.limits.broadcasts(_catalogue_size(inputs))
     joined = (
-        enrolments(inputs)
+        (rows.drop(*described) if late else rows)
         .join(grades_by_enrolment(inputs.silver["notas"]), ENROLMENT, "left")
         .join(attendance_by_enrolment(inputs.silver["asistencia"]), ENROLMENT, "left")
         .fillna(0, subset=counts)
     )
+    if late:
+        names = inputs.silver["cursos"].select(
+            "curso_id", F.col("nombre").alias("curso"), "docente", "creditos"
+        )
+        joined = joined.join(F.broadcast(names), "curso_id")
     sessions = F.col("sesiones")
     attended = F.col("presentes") + F.col("tardanzas")
     # The limit is tested on the exact ratio, the risk on the published one.

@@ -60,3 +60,9 @@ def test_paths_of_large_tables(spark, con):
         assert rows(quarantine.columns, quarantine.collect()) == expected(con, "quarantine_rows")[1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.columns[:3] == ["estudiante_id", "nombres", "apellidos"] and len(df.columns) == 24
+    assert df.count() > 0
