@@ -34,6 +34,15 @@ from gradeflow.plans.validation import (  # noqa: E402
 from gradeflow.sources.bronze import limit_report, table_profile  # noqa: E402
 from gradeflow.sources.star_schema import academic_batch, derive  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from gradeflow.llm import queries as llm
+except ModuleNotFoundError as absent:
+    # Only where the subpackage itself is not there; what is missing inside it is an error.
+    if absent.name not in ("corpus_pipeline", "gradeflow.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 PARENTS = {"semestres": (), "cursos": ("semestres",), "estudiantes": ("semestres",)}
 ALL = (*MASTERS, *FACTS)
@@ -221,12 +230,20 @@ def queries() -> dict[str, Query]:
     out["alertas_resumen"] = _summary(ALERTS, "asistencia")
     out["csv_cells_lineitem"] = _csv_cells("lineitem")
     out["csv_cells_documents"] = _csv_cells("documents")
+    if llm is not None:
+        out |= llm.QUERIES
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     """For each query the same result in SQL over the same tables."""
-    return oracle.statements()
+    out = oracle.statements()
+    if llm is not None:
+        out |= llm.SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
 
 
 def entry(spark: SparkSession) -> DataFrame:
