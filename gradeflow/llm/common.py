@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,26 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's modules to the Python workers, once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="gradeflow-"), "gradeflow.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(application)
+
+
 def landed(df: DataFrame) -> DataFrame:
     """df written once to the shared folder and read back: lost executors cost tasks only."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeflow.llm import exact_topk, mixing
-from gradeflow.llm.common import table
+from gradeflow.llm import exact_topk, mixing, near_dedup, token_counts, urls
+from gradeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,16 +17,45 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def piece_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
+
+
 def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Query] = {
+def shipped(query: Query) -> Query:
+    """The query after the workers got this package."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
+    "op3_minhash_near_dedup": near_duplicates,
     "op4_exact_top_k": exact_top_k,
+    "op6_url_filter": url_filter,
+    "op8_token_counts": piece_token_counts,
     "op9_mixing_targets": mixing_targets,
 }
 
+QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
+
 SQL: dict[str, str] = {
     "op4_exact_top_k": exact_topk.TOPK_SQL,
     "op9_mixing_targets": mixing.MIX_SQL,
