@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeflow.llm import exact_topk, mixing, near_dedup, token_counts, urls
+from gradeflow.llm import exact_topk, mixing, near_dedup, token_counts, toxicity, urls
 from gradeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
@@ -49,6 +54,7 @@ def shipped(query: Query) -> Query:
 _QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": near_duplicates,
     "op4_exact_top_k": exact_top_k,
+    "op5_toxicity": toxic_documents,
     "op6_url_filter": url_filter,
     "op8_token_counts": piece_token_counts,
     "op9_mixing_targets": mixing_targets,
