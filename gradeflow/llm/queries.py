@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeflow.llm import exact_topk, mixing, near_dedup, token_counts, toxicity, urls
+from gradeflow.llm import exact_topk, mixing, near_dedup, quality, token_counts, toxicity, urls
 from gradeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def shipped(query: Query) -> Query:
 
 
 _QUERIES: dict[str, Query] = {
+    "op2_line_quality": document_quality,
     "op3_minhash_near_dedup": near_duplicates,
     "op4_exact_top_k": exact_top_k,
     "op5_toxicity": toxic_documents,
