@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeflow.llm import exact_topk, mixing, near_dedup, quality, token_counts, toxicity, urls
+from gradeflow.llm import bpe, exact_topk, html_extraction, mixing, near_dedup, quality, token_counts, toxicity, urls
 from gradeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -35,6 +39,10 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def piece_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
@@ -56,11 +64,13 @@ def shipped(query: Query) -> Query:
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_html_extraction": page_text,
     "op2_line_quality": document_quality,
     "op3_minhash_near_dedup": near_duplicates,
     "op4_exact_top_k": exact_top_k,
     "op5_toxicity": toxic_documents,
     "op6_url_filter": url_filter,
+    "op7_word_bpe": word_bpe,
     "op8_token_counts": piece_token_counts,
     "op9_mixing_targets": mixing_targets,
 }
