@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeflow.llm import bpe, exact_topk, html_extraction, mixing, near_dedup, quality, token_counts, toxicity, urls
+from gradeflow.llm import bpe, exact_topk, html_extraction, mixing, near_dedup, neighbours, quality, token_counts, toxicity, urls
 from gradeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def document_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -73,6 +77,7 @@ _QUERIES: dict[str, Query] = {
     "op7_word_bpe": word_bpe,
     "op8_token_counts": piece_token_counts,
     "op9_mixing_targets": mixing_targets,
+    "op10_nearest_neighbours": nearest_neighbours,
 }
 
 QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
