@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeflow.llm.common import WORD, landed
@@ -21,14 +21,18 @@ from gradeflow.llm.common import WORD, landed
 HASH_BITS, STEP_BITS = 60, 12
 
 
+def hash_of(doc_id: Column) -> Column:
+    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words, and the fixed hash of the id."""
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     return docs.select(
         "doc_id",
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long").alias("hash"),
+        hash_of(F.col("doc_id")).alias("hash"),
     )
 
 
@@ -104,6 +108,17 @@ def hash_cuts(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
     return open_.select("source", F.when(nearer, F.col("low")).otherwise(F.col("low") - 1).alias("cut"))
 
 
+def planned(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """source, source_size, target, whole, cut: whole repeats of all, one more up to the cut."""
+    targets = source_targets(sizes, weights, share, most)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    plan = landed(targets.select("*", whole.cast("long").alias("whole")))
+    budget = F.col("target") - F.col("whole") * F.col("source_size")
+    cuts = hash_cuts(sizes, plan.select("source", budget.alias("budget")).filter("budget > 0"))
+    joined = plan.alias("p").join(cuts.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left")
+    return landed(joined.select("p.*", F.coalesce("cut", F.lit(-1)).alias("cut")))
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0
 ) -> DataFrame:
@@ -116,20 +131,27 @@ def mix(
     gives no rows.  Other columns are ignored.
     """
     sizes = landed(sized(docs))
-    targets = source_targets(sizes, weights, share, most)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    plan = landed(targets.select("*", whole.cast("long").alias("whole")))
-    budget = F.col("target") - F.col("whole") * F.col("source_size")
-    cuts = hash_cuts(sizes, plan.select("source", budget.alias("budget")).filter("budget > 0"))
-    full = plan.alias("p").join(cuts.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left")
-    full = full.select("p.*", F.coalesce("cut", F.lit(-1)).alias("cut"))
+    plan = planned(sizes, weights, share, most)
+    joined = sizes.alias("d").join(plan.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
     repeats = F.col("whole") + (F.col("hash") <= F.col("cut")).cast("long")
-    joined = sizes.alias("d").join(full.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
     return joined.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats")
     )
 
 
+def apply_mix(
+    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0
+) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix`` takes it."""
+    plan = planned(landed(sized(docs)), weights, share, most)
+    plan = plan.select(F.col("source").alias("_source"), F.col("whole").alias("_whole"), F.col("cut").alias("_cut"))
+    joined = docs.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    repeats = F.col("_whole") + (hash_of(F.col("doc_id")) <= F.col("_cut")).cast("long")
+    # Sources in which no document has a word have a target of 0 and no cut.
+    taken = joined.withColumn("_repeats", repeats.cast("int")).filter("_repeats > 0")
+    return taken.withColumn("_turn", F.explode(F.sequence(F.lit(1), "_repeats"))).select(docs.columns)
+
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,

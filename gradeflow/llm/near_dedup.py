@@ -279,3 +279,41 @@ def classified(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     ids = rooted.select("class", "root").join(least, "root")
     return described.select("doc_id", "n_shingles", "class").join(ids, "class", "left")
+
+
+def one_of_each(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group one with the smallest id.
+
+    Texts without words are groups of their own for each id.  Of rows with one id and one
+    shingle set, and of a group whose ids are all null, one row is kept.
+    """
+    columns = docs.columns
+    found = classified(docs, width, percent)
+    # The class to keep of each group: that of its smallest id, by name among several.
+    named = found.select("root", _none(), _id(), F.coalesce("class", F.lit(b"")).alias("_class"), "class")
+    key = ["_none", "_id", "_class"]
+    best = named.filter("class is not null").groupBy("root").agg(F.min(F.struct(*key)).alias("best"))
+    keep = landed(best.select("best.*").union(named.filter("class is null").select(*key).distinct()))
+    # An id may stand for several texts, so each text's class is named again.
+    shape = docs.limit(0).selectExpr("*", "cast(null as binary) as _class").schema
+    texts = docs.mapInArrow(_with_class(width, columns.index("text")), shape)
+    # One shuffle, after each task has dropped its own repeated rows, serves both steps.
+    return texts.select("*", _none(), _id()).dropDuplicates(key).join(keep, key, "left_semi").select(columns)
+
+
+def _none() -> F.Column:
+    return F.col("doc_id").isNull().alias("_none")
+
+
+def _id() -> F.Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id")
+
+
+def _with_class(width: int, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = (shingle_set(text.as_py(), width) for text in batch.column(at))
+            names = pa.array([set_id(s) if len(s) else b"" for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, names], [*batch.schema.names, "_class"])
+
+    return run

@@ -77,7 +77,7 @@ def test_near_duplicates_equal_brute_force(spark, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_a_large_group_of_near_copies_is_settled_by_hubs(spark, monkeypatch):
+def test_a_large_group_of_near_copies_is_settled_in_blocks(spark, monkeypatch):
     """Copies that share edits, so that no shingle is alone and the bound drops none."""
     chance = random.Random(5)
     base = [f"w{i}" for i in range(60)]
@@ -88,7 +88,7 @@ def test_a_large_group_of_near_copies_is_settled_by_hubs(spark, monkeypatch):
         for at, word in chance.sample(edits, chance.randint(0, 5)):
             copy[at] = word
         rows.append((i, " ".join(copy)))
-    monkeypatch.setattr(near_dedup, "HUBS", (1, 1, 2, 4))
+    monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", 16)
     got = near_dedup.near_duplicates(documents(spark, [(i, t, None) for i, t in rows])).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_components(rows))
 
