@@ -48,15 +48,37 @@ def grade_mean(column: str, digits: int = 2) -> Column:
     return F.round(F.try_divide(total, F.count(column)), digits).cast("double")
 
 
-def safe_corr(left: str, right: str) -> Column:
-    """Pearson correlation over the pairs where both are known.
+def _steps(column: Column, digits: int) -> Column:
+    """A rounded column in whole steps of its last digit; their sums and squares are exact."""
+    return F.round(column * 10**digits).cast("decimal(10,0)")
+
+
+def _scatter(n: Column, x: Column, y: Column) -> Column:
+    """n * sum(xy) - sum(x) * sum(y), whole; exact up to where it is made a double."""
+    whole = "decimal(38,0)"
+    product, left, right = (F.sum(c).cast(whole) for c in (x * y, x, y))
+    return (n.cast("decimal(19,0)") * product).cast(whole) - (left * right).cast(whole)
+
+
+def exact_stddev(column: str, digits: int) -> Column:
+    """Sample deviation of a column rounded to ``digits``; null below two values."""
+    x, n = _steps(F.col(column), digits), F.count(column)
+    pairs = n.cast("double") * (n - 1)
+    return F.sqrt(F.try_divide(_scatter(n, x, x).cast("double"), pairs)) / 10**digits
+
+
+def exact_corr(left: str, left_digits: int, right: str, right_digits: int) -> Column:
+    """Pearson correlation of two rounded columns over the pairs where both are known.
 
     Null instead of a division error when one side is constant, as it is for a
     course with perfect attendance.
     """
     both = F.col(left).isNotNull() & F.col(right).isNotNull()
-    x, y = F.when(both, F.col(left)), F.when(both, F.col(right))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    x = F.when(both, _steps(F.col(left), left_digits))
+    y = F.when(both, _steps(F.col(right), right_digits))
+    n = F.count(x)
+    spread = F.sqrt(_scatter(n, x, x).cast("double")) * F.sqrt(_scatter(n, y, y).cast("double"))
+    return F.try_divide(_scatter(n, x, y).cast("double"), spread)
 
 
 def pass_rate() -> Column:

@@ -1,22 +1,20 @@
 """Marking repeated natural keys without gathering a key's rows anywhere.
 
 Of the rows that share a complete natural key one stays: the first that breaks no
-other rule, or the first of all when none is clean.  A ranking window sends every
-copy of a key to one task, and a third of a table may be copies of one row, so it
-is used only for tables that fit one task anyway.  Larger tables are reduced
-map-side to three numbers per key, keys held once are dropped, and what is left is
-looked up again by the rows.
+other rule, or the first of all when none is clean.  A ranking window would send
+every copy of a key to one task, and a third of a table may be copies of one row.
+So the table is reduced map-side to three numbers per key, keys held once are
+dropped, and what is left is looked up again by the rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradeflow.contract import REASON_SEPARATOR, REASONS, ROW, TableContract
 from gradeflow.functions.rules import IS_VALID, all_present
-from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, attach, hot_threshold
+from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, attach, hot_threshold, shuffle_partitions
 
 DUPLICATE = "REGISTRO_DUPLICADO"
 
@@ -45,23 +43,18 @@ def mark_duplicates(
 ) -> DataFrame:
     """Append the duplicate reason to every copy but the one that stays.
 
-    ``rows`` is the measured size of the table.  One that fits a single task is
-    ranked per key in one pass; a larger one looks up its repeated keys, which may
-    be given with their measured ``size`` when they have been written out before.
+    ``rows`` is the measured size of the table.  Its repeated keys may be given with
+    their measured ``size`` when they have been written out before.
     """
     key = list(contract.key)
     others = [c for c in flagged.columns if c != REASONS]
-    if repeated is None and rows <= limits.one_task_rows:
-        order = W.partitionBy(*key).orderBy(F.expr(f"not {IS_VALID}"), ROW)
-        looked = flagged.withColumn("_rank", F.row_number().over(order))
-        superseded = f"{all_present(key)} and _rank > 1"
-    else:
-        if repeated is None:
-            repeated = repeated_keys(flagged, contract)
-        hot = repeated.filter(F.col("copias") > hot_threshold(rows)).select(*key)
-        kept = repeated.select(*key, "conserva")
-        looked = attach(flagged, kept, key, "_repeated", size=size, hot=hot, limits=limits)
-        superseded = f"_repeated.conserva <> {ROW}"
+    if repeated is None:
+        repeated = repeated_keys(flagged, contract)
+    threshold = hot_threshold(rows, shuffle_partitions(flagged.sparkSession))
+    hot = repeated.filter(F.col("copias") > threshold).select(*key)
+    kept = repeated.select(*key, "conserva")
+    looked = attach(flagged, kept, key, "_repeated", size=size, hot=hot, limits=limits)
+    superseded = f"_repeated.conserva <> {ROW}"
     merged = (
         f"concat_ws('{REASON_SEPARATOR}', nullif({REASONS}, ''),"
         f" case when {superseded} then '{DUPLICATE}' end)"

@@ -9,10 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size
-
-# Parts a term's students are dealt into when the catalogue cannot be broadcast.
-PARTS = 64
+from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, shuffle_partitions
 
 
 def enrol(
@@ -27,11 +24,13 @@ def enrol(
 
     A catalogue within the limit is broadcast and nothing is shuffled.  A larger
     one is repeated once per part, and each term's students are dealt into the
-    parts by their id.
+    parts by their id: as many parts as the shuffle has partitions, so that a term
+    with all students still reaches every task.
     """
     if limits.broadcasts(size):
         return students.join(F.broadcast(catalogue), term)
-    dealt = students.withColumn("_part", F.pmod(F.xxhash64(student), F.lit(PARTS)).cast("int"))
-    every_part = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    parts = shuffle_partitions(students.sparkSession)
+    dealt = students.withColumn("_part", F.pmod(F.xxhash64(student), F.lit(parts)).cast("int"))
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     repeated = catalogue.withColumn("_part", every_part)
     return dealt.join(repeated, [term, "_part"]).drop("_part")

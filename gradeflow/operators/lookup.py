@@ -6,9 +6,9 @@ key holds a third of the facts and lands in a single task, or all rows without a
 key meet in one task.  ``attach`` covers the three:
 
 * the reference is broadcast only when its measured size is within the limit;
-* otherwise the facts are shuffled, and keys known to be hot (at most
-  ``HOT_KEYS`` of them, by construction) are answered from a broadcast of just
-  their reference rows;
+* otherwise the facts are shuffled, and keys known to be hot (more rows than a
+  shuffle partition holds on average, so at most as many as there are partitions)
+  are answered from a broadcast of just their reference rows;
 * rows already answered that way, and rows whose key is incomplete, get a private
   key so that the shuffle deals them out evenly.
 """
@@ -18,56 +18,56 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeflow.contract import ROW
 from gradeflow.functions.rules import all_present
 
-# A key is hot when it holds more than one in HOT_KEYS of the rows, so there can
-# never be more than HOT_KEYS hot keys, however large the table.
+# A key is hot when it holds more than one in HOT_KEYS of the rows, or more than
+# the mean shuffle partition if there are more partitions than that.
 HOT_KEYS = 1000
-# A table of so few rows fits a single task, so none of its keys can overload one.
-ONE_TASK_ROWS = 1_000_000
-# Not worth spreading over tasks at all.
-TINY_ROWS = 50_000
+# Reference row in memory besides its cells.
+ROW_BYTES = 256
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
 class Size:
-    """Measured rows of a table, its bytes in memory and those of its widest row."""
+    """Measured rows of a table, its bytes in memory (None: unknown), its widest row's."""
 
     rows: int
-    bytes: int
+    bytes: int | None
     widest: int = 0
 
 
-
 @dataclass(frozen=True)
 class Limits:
-    """What may be sent whole to every executor, and to a single task."""
+    """What may be sent whole to every executor."""
 
     broadcast_bytes: int = BROADCAST_BYTES
-    one_task_rows: int = ONE_TASK_ROWS
-    tiny_rows: int = TINY_ROWS
 
     def broadcasts(self, size: Size | None) -> bool:
-        return size is not None and size.bytes <= self.broadcast_bytes
+        return size is not None and size.bytes is not None and size.bytes <= self.broadcast_bytes
 
 
 DEFAULT_LIMITS = Limits()
 
 
-def hot_threshold(rows: int) -> int:
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_threshold(rows: int, partitions: int = HOT_KEYS) -> int:
     """Rows above which one key of a table of ``rows`` rows is hot."""
-    return max(rows // HOT_KEYS, 1)
+    return max(rows // max(HOT_KEYS, partitions), 1)
 
 
 def hot_keys(facts: DataFrame, key: Sequence[str], rows: int) -> DataFrame:
-    """Keys of more than one in ``HOT_KEYS`` rows; counted map-side first."""
+    """Keys of more rows than the threshold; counted map-side first."""
     counted = facts.filter(all_present(key)).groupBy(*key).count()
-    return counted.filter(F.col("count") > hot_threshold(rows)).select(*key)
+    threshold = hot_threshold(rows, shuffle_partitions(facts.sparkSession))
+    return counted.filter(F.col("count") > threshold).select(*key)
 
 
 def attach(
@@ -95,8 +95,11 @@ def attach(
 
     columns = facts.columns
     if hot is not None:
-        answers = packed.join(F.broadcast(hot), key, "left_semi").withColumnRenamed(name, "_hot")
-        facts = facts.join(F.broadcast(answers), key, "left")
+        # No more hot keys than partitions: their rows are broadcast if that many fit.
+        most = max(HOT_KEYS, shuffle_partitions(facts.sparkSession))
+        fit = size is not None and most * (size.widest + ROW_BYTES) <= BROADCAST_BYTES
+        answers = packed.join(hot, key, "left_semi").withColumnRenamed(name, "_hot")
+        facts = facts.join(F.broadcast(answers) if fit else answers, key, "left")
     else:
         facts = facts.withColumn("_hot", F.lit(None).cast(packed.schema[name].dataType))
     # NUL never starts a trimmed cell; were it to, `_hot` still wins below.

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, attach, hot_threshold
+from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, attach, hot_threshold, shuffle_partitions
 
 DISTINCT_AVERAGES = 2002
 RANK_ROW_BYTES = 256
@@ -27,24 +27,17 @@ def add_merit(
     group: list[str],
     value: str,
     row_id: str,
-    rows: int,
+    rows: int | None,
     groups: Size | None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Add ``orden_merito`` (ties share a rank, nulls last) and ``tercio_superior``.
 
-    ``rows`` bounds the rows of ``totals``; ``groups`` the number and width of its
-    groups.
+    ``rows`` bounds the rows of ``totals``, if known; ``groups`` the number and width
+    of its groups.
     """
     columns = totals.columns
     best_first = F.col(value).desc_nulls_last()
-    if rows <= limits.one_task_rows:
-        whole = W.partitionBy(*group)
-        rank, total = F.rank().over(whole.orderBy(best_first)), F.count(F.lit(1)).over(whole)
-        return totals.select(
-            "*", rank.alias("orden_merito"), _top_third(rank, total).alias("tercio_superior")
-        )
-
     # A grouping key must be findable again, so the missing average gets a mark.
     marked = totals.withColumn("_value", F.coalesce(F.col(value), F.lit(-1.0)).cast("string"))
     counted = marked.groupBy(*group, "_value").agg(
@@ -59,11 +52,14 @@ def add_merit(
         F.sum("_rows").over(W.partitionBy(*group)).alias("total"),
     )
     bound = None
-    if groups is not None:
+    if groups is not None and groups.bytes is not None:
         list_rows = groups.rows * DISTINCT_AVERAGES
         bound = Size(list_rows, list_rows * (groups.widest + RANK_ROW_BYTES))
     key = [*group, "_value"]
-    hot = ranks.filter(F.col("_rows") > hot_threshold(rows)).select(*key)
+    hot = None
+    if rows is not None:
+        threshold = hot_threshold(rows, shuffle_partitions(totals.sparkSession))
+        hot = ranks.filter(F.col("_rows") > threshold).select(*key)
     reference = ranks.select(*key, "rank", "total")
     placed = attach(marked, reference, key, "_merit", size=bound, hot=hot, spread=row_id, limits=limits)
     rank, total = F.col("_merit.rank"), F.col("_merit.total")

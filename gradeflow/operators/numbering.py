@@ -65,24 +65,24 @@ def number_tagged(
     return numbered.select(*columns, (F.col("_scan") + F.col("_shift") + FIRST_ROW).alias(ROW))
 
 
-def number_parquet(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Row numbers of a Parquet scan, from the row index each file carries."""
+def number_parquet(df: DataFrame) -> DataFrame:
+    """Row numbers of a Parquet scan, from the row index each file carries.
+
+    Files follow each other by path.  Only the list of files is ordered, one row
+    each, which is shorter than what the driver holds to plan the scan.
+    """
     columns = df.columns
-    position = F.col("_metadata.row_index")
-    paths = df.inputFiles()
-    if len(paths) <= 1:
-        return df.select(*columns, (position + FIRST_ROW).alias(ROW))
     located = df.select(
-        *columns, F.col("_metadata.file_path").alias("_file"), position.alias("_position")
+        *columns,
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.row_index").alias("_position"),
     )
     files = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_records"))
     before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
     offsets = files.select(
         "_file", F.coalesce(F.sum("_records").over(before), F.lit(0)).alias("_files_before")
     )
-    # One row per file: a path and a number.
-    size = Size(len(paths), sum(len(path.encode()) + 64 for path in paths))
-    numbered = located.join(F.broadcast(offsets) if limits.broadcasts(size) else offsets, "_file")
+    numbered = located.join(offsets, "_file")
     return numbered.select(
         *columns, (F.col("_files_before") + F.col("_position") + FIRST_ROW).alias(ROW)
     )

@@ -11,11 +11,12 @@ from gradeflow.contract import APROBADO, DESAPROBADO, INHABILITADO, PENDIENTE, P
 from gradeflow.functions.metrics import (
     GRADE,
     WEIGHT,
+    exact_corr,
+    exact_stddev,
     grade_mean,
     pass_rate,
     ratio,
     rounded_mean,
-    safe_corr,
     tally,
     weighted_mean,
 )
@@ -62,7 +63,7 @@ def enrolments(inputs: GoldInputs) -> DataFrame:
 def _catalogue_size(inputs: GoldInputs) -> Size | None:
     """Bound on the courses with their terms: at most one widest term row each."""
     terms, courses = inputs.sizes.get("semestres"), inputs.sizes.get("cursos")
-    if terms is None or courses is None:
+    if terms is None or courses is None or courses.bytes is None:
         return None
     return Size(courses.rows, courses.bytes + courses.rows * terms.widest)
 
@@ -202,12 +203,13 @@ def course_summary(inputs: GoldInputs) -> DataFrame:
         _in_condition(INHABILITADO).alias("inhabilitados"),
         _in_condition(PENDIENTE).alias("pendientes"),
         rounded_mean("promedio", 2).alias("promedio"),
-        F.round(F.percentile_approx("promedio", 0.5), 2).alias("mediana"),
+        # The exact element; an average has at most 2001 different values.
+        F.round(F.expr("percentile_disc(0.5) within group (order by promedio)"), 2).alias("mediana"),
         F.min("promedio").alias("promedio_minimo"),
         F.max("promedio").alias("promedio_maximo"),
-        F.round(F.stddev_samp("promedio"), 2).alias("desviacion"),
+        F.round(exact_stddev("promedio", 2), 2).alias("desviacion"),
         rounded_mean("asistencia_pct", 4).alias("asistencia_promedio"),
-        F.round(safe_corr("asistencia_pct", "promedio"), 4).alias("correlacion_asistencia_nota"),
+        F.round(exact_corr("asistencia_pct", 4, "promedio", 2), 4).alias("correlacion_asistencia_nota"),
         tally(F.col("requiere_atencion")).alias("requieren_atencion"),
     )
     return grouped.withColumn("tasa_aprobacion", pass_rate())
@@ -237,7 +239,7 @@ def student_summary(inputs: GoldInputs) -> DataFrame:
         ["semestre_id", "periodo"],
         "promedio_ponderado",
         "estudiante_id",
-        students.rows if students else inputs.limits.one_task_rows + 1,
+        students.rows if students else None,
         inputs.sizes.get("semestres"),
         inputs.limits,
     )
@@ -334,7 +336,7 @@ def performance_summary(inputs: GoldInputs) -> DataFrame:
         rounded_mean("promedio", 2).alias("promedio_general"),
         rounded_mean("asistencia_pct", 4).alias("asistencia_promedio"),
         tally(F.col("requiere_atencion")).alias("requieren_atencion"),
-        F.round(safe_corr("asistencia_pct", "promedio"), 4).alias("correlacion_asistencia_nota"),
+        F.round(exact_corr("asistencia_pct", 4, "promedio", 2), 4).alias("correlacion_asistencia_nota"),
         F.min("periodo").alias("periodo"),
     )
     return totals.select(

@@ -1,8 +1,9 @@
 """Validation: rules per table, parents before children, rejects into quarantine.
 
 Each table is checked against the *valid* rows of the tables it refers to, so a
-rejected parent also rejects its children.  For small tables the result is lazy;
-large ones are written to the workspace in between, as they are read repeatedly.
+rejected parent also rejects its children.  What is read more than once is written to
+the workspace: the rows with the rules they break, which are read for counts, repeated
+keys and marking, and the checked masters, which every child looks up.
 """
 
 from __future__ import annotations
@@ -187,9 +188,11 @@ def _reference(parent: str, silver: dict[str, DataFrame], sizes: dict[str, Size]
     if parent == "cursos":
         # A course carries its term's period and dates: at most one widest term each.
         terms, courses = sizes["semestres"], sizes["cursos"]
+        if courses.bytes is None:
+            return course_reference(silver, limits.broadcasts(terms)), courses
         bound = courses.bytes + courses.rows * terms.widest
         fits = limits.broadcasts(terms)
-        return course_reference(silver, fits), Size(courses.rows, bound)
+        return course_reference(silver, fits), Size(courses.rows, bound, courses.widest + terms.widest)
     return student_reference(silver), sizes["estudiantes"]
 
 
@@ -208,7 +211,8 @@ def flag(
         reference, size = _reference(lookup.parent, silver, sizes, limits)
         hot = None
         if not limits.broadcasts(size):
-            hot = hot_keys(bronze, [lookup.key], sizes[table.name].rows)
+            rows = sizes[table.name].rows if table.name in sizes else bronze.count()
+            hot = hot_keys(bronze, [lookup.key], rows)
         if reference.columns[0] != lookup.key:
             reference = reference.withColumnRenamed(reference.columns[0], lookup.key)
         looked = attach(looked, reference, [lookup.key], lookup.name, size=size, hot=hot, limits=limits)
@@ -228,36 +232,26 @@ def validate(
 ) -> Validation:
     """Check ``tables`` of a batch, parents first.
 
-    ``sizes`` are the measured table sizes (see ``profile``); they are taken here
-    when not given.  ``limits`` say what may be broadcast or sent to one task.
-    With a ``workspace`` the checked tables are written there; tables beyond one
-    task always are, in a workspace of their own if need be, for they are read
-    more than once.
+    ``sizes`` are the measured table sizes (see ``profile``); those not given are taken
+    from the table once it is written.  ``limits`` say what may be broadcast.  Tables
+    are written to ``workspace``, or to one of their own.
     """
     bronze = {name: bronze[name] for name in CONTRACTS if name in tables}
-    sizes = sizes or profile(bronze)
+    sizes = dict(sizes or {})
     result = Validation({}, {}, sizes)
-    if workspace is None and any(sizes[t].rows > limits.one_task_rows for t in bronze):
-        workspace = Workspace(next(iter(bronze.values())).sparkSession)
+    workspace = workspace or Workspace(next(iter(bronze.values())).sparkSession)
 
     def check(name: str) -> None:
-        table, rows, df = contract(name), sizes[name].rows, bronze[name]
-        one_task = rows <= limits.one_task_rows
-        if rows <= min(limits.tiny_rows, limits.one_task_rows):
-            df = df.coalesce(1)
-        elif one_task:
-            # Duplicates are ranked per key anyway: dealing the rows out first lets
-            # a table that came in one split be checked by all cores.
-            df = df.repartition(*table.clustered_by)
-        flagged = flag(df, table, rules[name], result.silver, sizes, strict_dates, limits)
-        repeated = size = None
-        if workspace is not None and not one_task:
-            flagged = workspace.land(f"flagged/{name}", flagged)
-            repeated = workspace.land(f"repeated/{name}", repeated_keys(flagged, table))
-            size = measure(repeated)
+        table = contract(name)
+        flagged = flag(bronze[name], table, rules[name], result.silver, sizes, strict_dates, limits)
+        flagged = workspace.land(f"flagged/{name}", flagged)
+        repeated = workspace.land(f"repeated/{name}", repeated_keys(flagged, table))
+        if name not in sizes:
+            sizes.update(profile({name: flagged}))
+        rows, size = sizes[name].rows, measure(repeated)
         checked = mark_duplicates(flagged, table, rows, repeated, size, limits)
         # Written unless marking again is as cheap as reading: a broadcast lookup.
-        if workspace is not None and (name in MASTERS or not limits.broadcasts(size)):
+        if name in MASTERS or not limits.broadcasts(size):
             checked = clean = workspace.land(f"checked/{name}", checked)
         else:
             # Among the clean rows of a key the first stays, whatever the others are.
@@ -269,7 +263,7 @@ def validate(
 
     for wave in WAVES:
         side_by_side({name: partial(check, name) for name in wave if name in bronze})
-    for layer in (result.checked, result.silver, result.flagged):
+    for layer in (result.checked, result.silver, result.flagged, sizes):
         for name in bronze:
             layer[name] = layer.pop(name)
     return result

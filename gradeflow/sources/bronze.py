@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS, MASTERS, POLICY, ROW, Policy, TableContract, contract
-from gradeflow.operators.lookup import Size
+from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size
 from gradeflow.operators.numbering import (
     number_parquet,
     number_tagged,
@@ -40,7 +40,12 @@ def _existing(table: TableContract, folder: str, load):
 
 
 def read_csv(
-    spark: SparkSession, folder: str, name: str, workspace: Workspace, check_header: bool = False
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    workspace: Workspace,
+    check_header: bool = False,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Read ``<folder>/<name>.csv``, a file or a folder of files, any Hadoop URI.
 
@@ -60,7 +65,7 @@ def read_csv(
     raw = _existing(table, folder, lambda: reader.csv(f"{folder.rstrip('/')}/{name}.csv"))
     landed = workspace.land(f"bronze/{name}", normalise(tag_splits(raw), table))
     offsets = workspace.land(f"offsets/{name}", split_offsets(landed))
-    return number_tagged(landed, offsets, measure(offsets))
+    return number_tagged(landed, offsets, measure(offsets), limits)
 
 
 def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +85,7 @@ def read_bronze(
     fmt: str = "csv",
     workspace: Workspace | None = None,
     check_header: bool = False,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> dict[str, DataFrame]:
     """All five tables of a batch; a missing one is an error that names it."""
     if fmt == "parquet":
@@ -89,7 +95,7 @@ def read_bronze(
     workspace = workspace or Workspace(spark)
 
     def reading(name: str):
-        return lambda: read_csv(spark, folder, name, workspace, check_header)
+        return lambda: read_csv(spark, folder, name, workspace, check_header, limits)
 
     return side_by_side({name: reading(name) for name in CONTRACTS})
 

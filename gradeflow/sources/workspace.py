@@ -1,11 +1,13 @@
 """Intermediate tables in the folder the cluster shares.
 
 A written table cuts lineage and survives the loss of executors; it is also the
-only way to measure a frame once and read it column by column afterwards.
+only way to measure a frame once and read it column by column afterwards.  A batch
+run removes its workspace; what a lazy query landed is removed when Python exits.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -40,16 +42,30 @@ def literal_frame(spark: SparkSession, names: list[str], rows: list[tuple]) -> D
 
 
 class Workspace:
-    """A fresh subfolder of the session's checkpoint folder."""
+    """A fresh subfolder of the session's checkpoint folder.
+
+    Only a local session, which has no other machines, may leave the setting out.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
         if not root:
-            if not spark.sparkContext.master.startswith("local"):
+            if not spark.sparkContext.master.startswith("local["):
                 raise ValueError(f"set {SETTING} to a folder every executor can reach")
             root = tempfile.mkdtemp(prefix="gradeflow-")
+            spark.sparkContext.setCheckpointDir(root)
         self.folder = f"{root.rstrip('/')}/gradeflow-{uuid.uuid4().hex}"
+        atexit.register(self.remove)
+
+    def remove(self) -> None:
+        """Delete the folder; nothing that was landed in it can be read any more."""
+        atexit.unregister(self.remove)
+        context = self.spark.sparkContext
+        if context._jsc is None or context._jsc.sc().isStopped():
+            return
+        path, system = hadoop_path(self.spark, self.folder)
+        system.delete(path, True)
 
     def land(self, name: str, df: DataFrame) -> DataFrame:
         """Write a frame and read it back."""
@@ -58,6 +74,14 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path qualified by its file system, and that file system."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return system.makeQualified(path), system
+
+
 def text_size(df: DataFrame) -> list[Column]:
     """Aggregates that bound the memory of a frame: rows, bytes, widest row.
 
@@ -74,7 +98,7 @@ def text_size(df: DataFrame) -> list[Column]:
 
 
 def to_size(row: Row) -> Size:
-    return Size(row["filas"], row["bytes"] or 0, row["mayor"] or 0)
+    return Size(row["filas"], row["bytes"], row["mayor"] or 0)
 
 
 def measure(df: DataFrame) -> Size:

@@ -47,7 +47,7 @@ def test_query(spark, con, name):
 
 def test_paths_of_large_tables(spark, con):
     """Nothing broadcast, nothing ranked in a window: the same tables."""
-    limits = Limits(broadcast_bytes=-1, one_task_rows=0)
+    limits = Limits(broadcast_bytes=-1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         result = validate(academic_batch(spark, FOLDER), limits=limits)

@@ -14,7 +14,7 @@ from gradeflow.operators.lookup import Limits, Size, attach, hot_keys, hot_thres
 from gradeflow.operators.merit import add_merit
 from gradeflow.sources.workspace import measure
 
-TIGHT = Limits(broadcast_bytes=-1, one_task_rows=0)
+TIGHT = Limits(broadcast_bytes=-1)
 
 
 def skewed_notas(rows: int, seed: int):
@@ -61,7 +61,6 @@ def test_duplicates_match_brute_force(spark, seed):
     expected = expected_reasons(rows)
     repeated = repeated_keys(flagged, table)
     variants = {
-        "window": mark_duplicates(flagged, table, len(rows)),
         "shuffled": mark_duplicates(flagged, table, len(rows), limits=TIGHT),
         "broadcast": mark_duplicates(flagged, table, len(rows), repeated, measure(repeated)),
     }
@@ -135,7 +134,7 @@ def test_merit_order_matches_brute_force(spark, groups):
         average = None if rng.random() < 0.1 else rng.randrange(900, 1300) / 100
         rows.append((f"E{n}", term, "P1", average))
     totals = spark.createDataFrame(rows, "e string, s string, p string, promedio double")
-    limits = Limits(one_task_rows=0) if groups and groups.bytes < 1000 else TIGHT
+    limits = Limits() if groups and groups.bytes < 1000 else TIGHT
     large = add_merit(totals, ["s", "p"], "promedio", "e", 900, groups, limits)
     small = add_merit(totals, ["s", "p"], "promedio", "e", 900, groups)
     assert small.dtypes == large.dtypes

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from batches import frames, worked_example, write_csv
 
 from gradeflow.contract import CONTRACTS
+from gradeflow.operators.lookup import Limits
 from gradeflow.operators.numbering import number_parquet
 from gradeflow.sources.bronze import (
     describe,
@@ -15,6 +18,7 @@ from gradeflow.sources.bronze import (
     read_bronze,
     read_csv,
 )
+from gradeflow.sources.star_schema import derive
 from gradeflow.sources.workspace import Workspace
 
 
@@ -104,3 +108,17 @@ def test_profile_and_limits(spark):
 def test_workspace_uses_the_shared_folder(spark):
     folder = Workspace(spark).folder
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_workspace_can_be_removed(spark):
+    workspace = Workspace(spark)
+    landed = workspace.land("t", spark.range(3))
+    assert landed.count() == 3 and os.path.isdir(workspace.folder)
+    workspace.remove()
+    assert not os.path.exists(workspace.folder)
+
+
+def test_facts_of_unknown_bytes_are_never_broadcast(spark):
+    size = profile({"notas": derive(spark, "/root/testdata/sf0.001", "notas")})["notas"]
+    assert size.rows > 0 and size.bytes is None
+    assert not Limits().broadcasts(size)
