@@ -141,9 +141,7 @@ def _gate_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _gate_decision(spark: SparkSession, folder: str) -> DataFrame:
-    counts, tolerance = _counts(spark, folder), POLICY.default_tolerance
-    checks = quality.gate_checks(counts, tolerance)
-    return quality.gate_decision(counts, checks, tolerance)
+    return quality.gate_decision(_counts(spark, folder), POLICY.default_tolerance)
 
 
 def _stage_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,9 +151,7 @@ def _stage_rows(spark: SparkSession, folder: str) -> DataFrame:
 def _batch_result(spark: SparkSession, folder: str) -> DataFrame:
     """The alert job's result when every reject is tolerated, so that Gold counts."""
     result = _validated(spark, folder, *ALL)
-    counts, tolerance = quality.table_counts(result.checked), 1.0
-    checks = quality.gate_checks(counts, tolerance)
-    decision = quality.gate_decision(counts, checks, tolerance)
+    decision = quality.gate_decision(quality.table_counts(result.checked), 1.0)
     primary = ALERTS.primary.build(GoldInputs(result.silver, result.sizes))
     return quality.batch_result(decision, primary)
 

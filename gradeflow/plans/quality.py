@@ -25,6 +25,9 @@ TABLE_ORDER = {name: place for place, name in enumerate(CONTRACTS)}
 RATIO_DIGITS = 6
 
 
+NUMBERS = ("recibidas", "aceptadas", "rechazadas")
+
+
 def check_tolerance(tolerance: float) -> float:
     """A tolerance is a finite number from 0 to 1."""
     if not 0.0 <= tolerance <= 1.0:
@@ -122,13 +125,21 @@ def gate_checks(
     ``counts`` has one row per table; the rows are folded into one list, so that
     they are computed once.  ``extra`` adds checks of the same three columns.
     """
-    check_tolerance(tolerance)
-    numbers = ["recibidas", "aceptadas", "rechazadas"]
-    folded = counts.agg(
-        F.collect_list(F.struct("tabla", *numbers)).alias("tablas"),
-        F.struct(*[F.sum(c).alias(c) for c in numbers]).alias("total"),
+    checks = _folded(counts).select(F.inline(_own_checks(check_tolerance(tolerance))))
+    return reduce(DataFrame.unionByName, extra or [], checks)
+
+
+def _folded(counts: DataFrame) -> DataFrame:
+    """One row: the counts of all tables as a list, and their totals."""
+    return counts.agg(
+        F.collect_list(F.struct("tabla", *NUMBERS)).alias("tablas"),
+        F.struct(*[F.sum(c).alias(c) for c in NUMBERS]).alias("total"),
     )
 
+
+def _own_checks(tolerance: float) -> Column:
+    """The gate's checks as a list, from the folded counts."""
+
     def check(name: Column, passed: Column, detail: Column) -> Column:
         return F.struct(name.alias("control"), passed.alias("aprobado"), detail.alias("detalle"))
 
@@ -149,32 +160,32 @@ def gate_checks(
             F.format_string(MASTER_DETAIL, t["aceptadas"]),
         )
 
-    received, accepted, rejected = (F.col(f"total.{c}") for c in numbers)
+    received, accepted, rejected = (F.col(f"total.{c}") for c in NUMBERS)
     conserved = check(
         F.lit(CONSERVATION_CHECK),
         received == accepted + rejected,
         F.format_string(CONSERVATION_DETAIL, received, accepted, rejected),
     )
     masters = F.filter("tablas", lambda t: t["tabla"].isin(*MASTERS))
-    checks = folded.select(
-        F.inline(
-            F.concat(
-                F.transform("tablas", within_tolerance),
-                F.transform(masters, has_rows),
-                F.array(conserved),
-            )
-        )
+    return F.concat(
+        F.transform("tablas", within_tolerance),
+        F.transform(masters, has_rows),
+        F.array(conserved),
     )
-    return reduce(DataFrame.unionByName, extra or [], checks)
 
 
-def gate_decision(counts: DataFrame, checks: DataFrame, tolerance: float) -> DataFrame:
-    """One row: totals, rejected share, tolerance, and whether Gold is published."""
-    # One frame of a few rows: the counts, then the checks.
-    numbers = ("recibidas", "aceptadas", "rechazadas")
-    verdict = checks.select("aprobado")
-    merged = counts.select(*numbers).unionByName(verdict, allowMissingColumns=True)
-    totals = merged.agg(*[F.sum(c).alias(c) for c in numbers], F.min("aprobado").alias("publicado"))
+def gate_decision(
+    counts: DataFrame, tolerance: float, extra: list[DataFrame] | None = None
+) -> DataFrame:
+    """One row: totals, rejected share, tolerance, and whether Gold is published.
+
+    The counts are evaluated once: totals and checks come from the same folded row.
+    """
+    passed = F.forall(_own_checks(check_tolerance(tolerance)), lambda c: c["aprobado"])
+    own = _folded(counts).select("total.*", passed.alias("aprobado"))
+    rows = [own, *[checks.select("aprobado") for checks in extra or []]]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    totals = merged.agg(*[F.sum(c).alias(c) for c in NUMBERS], F.min("aprobado").alias("publicado"))
     share = _share(F.col("rechazadas"), F.col("recibidas"))
     return totals.select(
         "recibidas",

@@ -111,12 +111,34 @@ def test_gate_blocks_gold_only(spark, tmp_path):
     metrics = spark.read.json(f"{tmp_path}/out/metrics.json")
     assert {r["run_id"] for r in metrics.select("run_id").collect()} == {"one", "two"}
     assert current_run(spark, str(tmp_path / "out")).endswith("/two")
+    # A blocked run leaves the pointer alone, and a run id serves once.
+    run_batch(spark, inputs, str(tmp_path / "out"), PERFORMANCE, 0.01, run_id="three")
+    assert current_run(spark, str(tmp_path / "out")).endswith("/two")
+    with pytest.raises(FileExistsError, match="two"):
+        run_batch(spark, inputs, str(tmp_path / "out"), PERFORMANCE, 0.01, run_id="two")
+    assert (tmp_path / "out/two/gold").exists()
+    manifest = spark.read.json(f"{tmp_path}/out/two/manifest.json").collect()
+    assert {r["etapa"] for r in manifest} >= {"silver", "gold", "quarantine", "quality.json"}
+
+
+def test_a_run_that_breaks_off_is_not_current(spark, tmp_path):
+    inputs, output = write_csv(worked_example(), tmp_path / "in"), str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        current_run(spark, output)
+    run_batch(spark, inputs, output, ALERTS, run_id="good")
+
+    def broken(df, path):
+        raise OSError("no space")
+
+    with pytest.raises(OSError, match="no space"):
+        run_batch(spark, inputs, output, ALERTS, run_id="bad", formats={"csv": broken})
+    assert current_run(spark, output).endswith("/good")
 
 
 def test_same_results_when_nothing_fits(spark, tmp_path):
     """The paths of large tables give what the paths of small ones give."""
     inputs = write_csv(dirty(), tmp_path / "in")
-    tight = Limits(broadcast_bytes=-1, one_task_rows=0)
+    tight = Limits(broadcast_bytes=-1)
     small = run_batch(spark, inputs, str(tmp_path / "a"), PERFORMANCE, 0.5)
     large = run_batch(spark, inputs, str(tmp_path / "b"), PERFORMANCE, 0.5, limits=tight)
     tables = [f"gold/{t.name}" for t in PERFORMANCE.all_tables()] + ["quarantine/rechazados"]
@@ -154,18 +176,33 @@ def test_extension_points(spark, tmp_path):
         1.0,
         rules={**ACADEMIC_RULES, "estudiantes": section},
         extra_checks=[
-            lambda counts: counts.filter("tabla = 'notas'").select(
+            lambda seen: seen.counts.filter("tabla = 'notas'").select(
                 F.lit("Notas suficientes").alias("control"),
                 (F.col("aceptadas") >= 6).alias("aprobado"),
                 F.lit("").alias("detalle"),
-            )
+            ),
+            # A check on the contents of Silver: every course has a grade.
+            lambda seen: seen.silver["cursos"]
+            .join(seen.silver["notas"], "curso_id", "left_anti")
+            .agg(
+                F.lit("Cursos con notas").alias("control"),
+                (F.count(F.lit(1)) == 0).alias("aprobado"),
+                F.lit("").alias("detalle"),
+            ),
+            lambda seen: seen.reasons.agg(
+                F.lit("Pocos motivos").alias("control"),
+                (F.coalesce(F.max("filas"), F.lit(0)) < 1).alias("aprobado"),
+                F.lit("").alias("detalle"),
+            ),
         ],
         formats={**FORMATS, "orc": lambda df, path: df.write.orc(f"{path}.orc")},
     )
     # E3 of section B and with it two grades and four sessions are rejected.
     assert (result.published, result.rejected) == (False, 7)
     report = spark.read.json(f"{result.folder}/quality.json").first()
-    assert [c["control"] for c in report["controles"] if not c["aprobado"]] == ["Notas suficientes"]
+    failed = {c["control"] for c in report["controles"] if not c["aprobado"]}
+    assert failed == {"Notas suficientes", "Pocos motivos"}
+    assert "Cursos con notas" in {c["control"] for c in report["controles"]}
     assert spark.read.orc(f"{result.folder}/silver/notas.orc").count() == 4
     stored = spark.read.json(f"{result.folder}/result.json").first()
     assert (stored["received"], stored["rejected"], stored["published"]) == (23, 7, False)

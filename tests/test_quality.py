@@ -20,7 +20,7 @@ def counts(spark, **changes):
 def decide(spark, tolerance, **changes):
     table = counts(spark, **changes)
     checks = quality.gate_checks(table, tolerance)
-    row = quality.gate_decision(table, checks, tolerance).first()
+    row = quality.gate_decision(table, tolerance).first()
     return row, {r["control"]: r for r in checks.collect()}
 
 
