@@ -11,7 +11,7 @@ import sys
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,6 +20,7 @@ import oracle  # noqa: E402
 from gradeflow.contract import CONTRACTS, FACTS, MASTERS, POLICY, ROW  # noqa: E402
 from gradeflow.functions.cells import csv_cells  # noqa: E402
 from gradeflow.operators.duplicates import repeated_keys  # noqa: E402
+from gradeflow.operators.numbering import number_parquet  # noqa: E402
 from gradeflow.plans import performance, quality  # noqa: E402
 from gradeflow.plans.alerts import ALERTS  # noqa: E402
 from gradeflow.plans.gold import Analytics, GoldInputs  # noqa: E402
@@ -31,8 +32,11 @@ from gradeflow.plans.validation import (  # noqa: E402
     term_reference,
     validate,
 )
-from gradeflow.sources.bronze import limit_report, table_profile  # noqa: E402
+from gradeflow.plans.batch import MANIFEST, current_run, run_batch  # noqa: E402
+from gradeflow.sinks.publish import publish, write_csv  # noqa: E402
+from gradeflow.sources.bronze import limit_report, read_csv, table_profile  # noqa: E402
 from gradeflow.sources.star_schema import academic_batch, derive  # noqa: E402
+from gradeflow.sources.workspace import Workspace  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -185,6 +189,72 @@ def _summary(analytics: Analytics, *tables: str) -> Query:
     return run
 
 
+def _csv_bronze(name: str) -> Query:
+    """The table written as CSV in several files and read back, numbered over all of them."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        workspace = Workspace(spark)
+        ranges = derive(spark, folder, name).repartitionByRange(8, ROW).sortWithinPartitions(ROW)
+        write_csv(ranges.drop(ROW), f"{workspace.folder}/in/{name}")
+        return read_csv(spark, f"{workspace.folder}/in", name, workspace)
+
+    return run
+
+
+def _in_order(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
+    """The published Parquet table with each row's position over its files."""
+    target = Workspace(df.sparkSession).folder
+    publish(df, target, name, order)
+    written = df.sparkSession.read.parquet(f"{target}/{name}.parquet")
+    return number_parquet(written).withColumn("posicion", F.col(ROW) - 1).drop(ROW)
+
+
+def _published(analytics: Analytics, name: str, *tables: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        table = analytics.table(name)
+        inputs = _inputs(spark, folder, *tables)
+        if table is not analytics.primary and table.from_primary:
+            inputs = inputs.with_primary(analytics.primary.build(inputs))
+        return _in_order(table.build(inputs), name, table.order())
+
+    return run
+
+
+def _published_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    rejected = _validated(spark, folder, *ALL).quarantine(ordered=False)
+    rows = _in_order(rejected.withColumnRenamed(ROW, "fila_origen"), "rechazados", [F.col("tabla"), F.col("fila_origen")])
+    return rows.select("tabla", F.col("fila_origen").alias(ROW), "motivos", "posicion")
+
+
+def _published_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of all tables of a published run, as its Parquet and its CSV files hold them."""
+    output = f"{Workspace(spark).folder}/out"
+    result = run_batch(spark, academic_batch(spark, folder), output, ALERTS, 1.0)
+    parts = [("quarantine", "rechazados"), *[("silver", t) for t in CONTRACTS]]
+    parts += [("gold", t.name) for t in ALERTS.all_tables()]
+    rows = []
+    for stage, name in parts:
+        path = f"{current_run(spark, output)}/{stage}/{name}"
+        typed = spark.read.parquet(f"{path}.parquet").agg(F.count(F.lit(1)).alias("filas_parquet"))
+        text = spark.read.option("header", True).option("escape", '"').csv(f"{path}.csv")
+        text = text.agg(F.count(F.lit(1)).alias("filas_csv"))
+        both = typed.unionByName(text, allowMissingColumns=True)
+        folded = both.agg(*[F.max(c).alias(c) for c in both.columns])
+        rows.append(folded.select(F.lit(stage).alias("etapa"), F.lit(name).alias("tabla"), "*"))
+    assert result.folder == current_run(spark, output)
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _gate_effect(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables per stage that a run at the default tolerance left, from its manifest."""
+    output = f"{Workspace(spark).folder}/out"
+    result = run_batch(spark, academic_batch(spark, folder), output, ALERTS)
+    manifest = spark.read.json(f"{result.folder}/{MANIFEST}").filter("etapa not like '%.json'")
+    table = F.regexp_extract("clave", r"^[^/]+/([^/.]+)\.", 1)
+    named = manifest.select("etapa", table.alias("tabla")).filter("tabla <> 'resumen'").distinct()
+    return named.groupBy("etapa").agg(F.count(F.lit(1)).alias("tablas"))
+
+
 def _csv_cells(name: str) -> Query:
     return lambda spark, folder: csv_cells(spark.read.parquet(f"{folder}/{name}.parquet"))
 
@@ -224,6 +294,14 @@ def queries() -> dict[str, Query]:
     for table in ALERTS.all_tables():
         out[table.name] = _gold(ALERTS, table.name, "asistencia")
     out["alertas_resumen"] = _summary(ALERTS, "asistencia")
+    for name in FACTS:
+        out[f"csv_bronze_{name}"] = _csv_bronze(name)
+    out["published_rendimiento"] = _published(PERFORMANCE, "rendimiento", *ALL)
+    out["published_alertas_asistencia"] = _published(ALERTS, "alertas_asistencia", "asistencia")
+    out["published_alertas_por_curso"] = _published(ALERTS, "alertas_por_curso", "asistencia")
+    out["published_rechazados"] = _published_quarantine
+    out["published_tables"] = _published_tables
+    out["gate_effect"] = _gate_effect
     out["csv_cells_lineitem"] = _csv_cells("lineitem")
     out["csv_cells_documents"] = _csv_cells("documents")
     if llm is not None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from gradeflow.contract import CONTRACTS, DIMENSIONS, RULES
+from gradeflow.contract import CONTRACTS, DIMENSIONS, FACTS, RULES
 from gradeflow.sources.star_schema import MAPPING
 
 STEPS: dict[str, str] = {}
@@ -496,6 +496,35 @@ def _finals() -> dict[str, str]:
         f" {mean('inasistencia_pct', 4)} AS inasistencia_promedio, min(periodo) AS periodo,"
         " CAST(0.3 AS DOUBLE) AS maximo_inasistencia, CAST(0.2 AS DOUBLE) AS umbral_riesgo FROM alertas"
     )
+    for name in FACTS:
+        out[f"csv_bronze_{name}"] = out[f"bronze_{name}"]
+    in_order = "SELECT *, row_number() OVER (ORDER BY {}) AS posicion FROM ({})"
+    out["published_rendimiento"] = in_order.format(
+        "curso_id, apellidos, nombres, estudiante_id, periodo", out["gold_rendimiento"]
+    )
+    severity = "CASE nivel WHEN 'INHABILITADO' THEN 0 WHEN 'EN_RIESGO' THEN 1 ELSE 2 END"
+    out["published_alertas_asistencia"] = in_order.format(
+        f"{severity}, inasistencia_pct DESC, estudiante_id, curso_id, periodo",
+        out["alertas_asistencia"],
+    )
+    out["published_alertas_por_curso"] = in_order.format(
+        "inhabilitados DESC, en_riesgo DESC, curso_id", out["alertas_por_curso"]
+    )
+    out["published_rechazados"] = (
+        "SELECT tabla, fila, motivos, row_number() OVER (ORDER BY tabla, fila) AS posicion FROM rejected"
+    )
+    counted = [("quarantine", "rechazados", "SELECT * FROM rejected")]
+    counted += [("silver", name, f"SELECT * FROM {name}_s") for name in CONTRACTS]
+    counted += [("gold", name, out[name]) for name in ("alertas_asistencia", "alertas_por_curso")]
+    out["published_tables"] = " UNION ALL ".join(
+        f"SELECT '{stage}' AS etapa, '{name}' AS tabla, count(*) AS filas_parquet,"
+        f" count(*) AS filas_csv FROM ({sql})"
+        for stage, name, sql in counted
+    )
+    out["gate_effect"] = (
+        "SELECT 'quarantine' AS etapa, 1 AS tablas UNION ALL SELECT 'silver', 5"
+        " UNION ALL SELECT 'gold', 2 WHERE (SELECT bool_and(aprobado) FROM checks)"
+    )
     out["csv_cells_lineitem"] = _csv(
         {
             "l_orderkey": "whole",
