@@ -7,10 +7,17 @@ many keys as it has values, each leaving one value out: all pairs within that di
 share a key.  At a similarity of 0.8 no chunk agrees in all but one value with a
 probability of about two in a million.
 
-Documents with equal shingle sets are one class; only classes are compared.  Within a
-key, all classes are compared with a few of them, the hubs, instead of all pairs.  A
-key is settled once its classes, without former hubs, lie in one component; else it
-gets more hubs, until every class was one.  Links are confirmed on whole sets.
+Documents with equal shingle sets are one class; only classes are compared.  A shingle
+that one class alone has among those that share keys can't be in an intersection but is
+in every union, so the counts of such shingles bound the similarity of a pair from above,
+without a look at it.
+
+Within keys, no pairs are written out.  First each class is compared with one hub, of
+its keys' classes the one with the fewest shingles of its own; that links most.  A key is
+settled once its classes, without those that the bound keeps from any link in it, lie in
+one component.  The classes of the other keys form groups, connected by keys; a group is
+dealt into blocks of bounded size, and each two of its blocks meet in one task, which
+counts all intersections of their whole sets and writes only what links components.
 """
 
 from __future__ import annotations
@@ -26,13 +33,12 @@ from gradeflow.llm.common import landed
 from gradeflow.llm.shingles import common, mixed, set_id, shingle_set
 
 CHUNKS, SLOTS = 10, 5
-#: Pairs that differ in more values are not worth a look: at a similarity of 0.8 a pair
-#: does with a probability below one in ten million.
-MOST_DIFFERENT = 27
-#: Hubs that a key gets in each of its rounds; the last number holds from then on.
-HUBS = (1, 8, 64, 512)
+#: Classes and shingles that a block of a group holds on average.
+BLOCK_CLASSES, BLOCK_SHINGLES = 256, 1 << 17
 #: Shingles that are hashed at a time.
 SLICE = 1 << 15
+#: Shingles that are counted at a time.
+COLUMNS = 4096
 
 _SEEDS = mixed(np.arange(1, CHUNKS * SLOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mixed(_SEEDS) | np.uint64(1)
@@ -83,18 +89,10 @@ def leave_one_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             keys = mixed(mixed(keys.reshape(len(values), -1)) + labels)
             take = pa.array(np.repeat(np.arange(len(values)), CHUNKS * SLOTS))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), part.column(0).take(take)], ["key", "class"]
+                [pa.array(keys.reshape(-1).view(np.int64)), part.column(0).take(take)], ["key", "node"]
             )
 
 
-def differing(a: str, b: str) -> F.Column:
-    """How many values two signatures differ in, in SQL on their bytes."""
-    return F.expr(
-        f"size(filter(sequence(0, {CHUNKS * SLOTS - 1}), "
-        f"i -> substring({a}, 2 * i + 1, 2) <> substring({b}, 2 * i + 1, 2)))"
-    )
-
-
 def sets_of(width: int):
     """The whole shingle set of each text, as bytes, with its class."""
 
@@ -130,12 +128,13 @@ def confirm(percent: int):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root for all nodes of the edges (a, b): equal roots where a path leads.
+    """node, root for all nodes of the written edges (a, b): equal roots where a path leads.
 
     Each round maps every node to the least of itself and its neighbours, and carries
-    the edges over to these.  Ids are hashes, so a path shrinks by a constant factor.
+    the edges over to these.  The classes are numbered in the order of their hashes, so a
+    path shrinks by a constant factor.
     """
-    edges = landed(edges.select("a", "b"))
+    edges = edges.select("a", "b")
     mapping = None
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
@@ -144,7 +143,7 @@ def components(edges: DataFrame) -> DataFrame:
             mapping = step.select(F.col("a").alias("node"), F.col("least").alias("root"))
         else:
             moved = mapping.join(step, F.col("root") == F.col("a"), "left")
-            mapping = landed(moved.select("node", F.coalesce("least", "root").alias("root")))
+            mapping = moved.select("node", F.coalesce("least", "root").alias("root"))
         first = edges.join(step, "a").select(F.col("least").alias("x"), F.col("b"))
         second = first.join(step.withColumnRenamed("a", "b"), "b")
         edges = landed(
@@ -152,98 +151,140 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.least("x", "least").alias("a"), F.greatest("x", "least").alias("b"))
             .distinct()
         )
-    return edges.selectExpr("a as node", "b as root") if mapping is None else mapping
+    return edges.selectExpr("a as node", "b as root") if mapping is None else landed(mapping)
 
 
-def links(docs: DataFrame, described: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """node, root of all classes that have a link.
+def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, shingle: all shingles of the sets."""
+    for batch in batches:
+        for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+            sets = [np.frombuffer(h.as_py(), np.int64) for h in part.column(1)]
+            take = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(take), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))],
+                ["node", "shingle"],
+            )
 
-    Each round, the unsettled keys get new hubs and their classes are compared with
-    them.  Where a key's members lie in one component already, no pair of it matters.
+
+def linkable(members: DataFrame, docs: DataFrame, described: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """node, n, alone, hashes of the classes that share keys and can have a link.
+
+    ``alone`` counts the shingles that no other such class has.
     """
-    spark = docs.sparkSession
-    keys = classes.select("class", "signature").mapInArrow(leave_one_out, "key long, class binary")
-    shared = keys.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most"))
-    shared = shared.filter("least <> most").select("key")
-    # Members of keys that hold several classes, with the number of the round they were hubs in.
-    members = landed(keys.join(shared, "key"))
-    compared = spark.createDataFrame([], "node binary, hub binary")
-    edges = spark.createDataFrame([], "a binary, b binary")
-    sets = None
-    roots = None
-    round_ = 0
-    while True:
-        labelled = members
-        if roots is None:
-            labelled = labelled.withColumn("root", F.col("class"))
-        else:
-            labelled = labelled.join(roots.withColumnRenamed("node", "class"), "class", "left")
-            labelled = labelled.withColumn("root", F.coalesce("root", "class"))
-        # The classes of a key that were no hubs yet, if they lie in several components.
-        count = HUBS[min(round_, len(HUBS) - 1)]
-        state = labelled.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-        unsettled = state.filter("least <> most").select("key")
-        active = landed(labelled.join(unsettled, "key"))
-        if active.isEmpty():
-            break
-        if count == 1:
-            hubs = active.groupBy("key").agg(F.min("class").alias("hub"))
-        else:
-            # min_by over a growing bound: the least ``count`` classes of a key.
-            hubs = least_classes(active, count)
-        hubs = landed(hubs)
-        hub_roots = hubs.join(
-            active.select("key", F.col("class").alias("hub"), F.col("root").alias("hub_root")), ["key", "hub"]
-        )
-        pairs = active.join(hub_roots, "key").filter("class <> hub and root <> hub_root")
-        pairs = pairs.select(F.least("class", "hub").alias("node"), F.greatest("class", "hub").alias("hub")).distinct()
-        new = landed(worth(pairs.join(compared, ["node", "hub"], "left_anti"), classes, percent))
-        if not new.isEmpty():
-            sets = whole_sets(docs, described, new, sets, width)
-            left = sets.select(F.col("class").alias("node"), F.col("hashes").alias("x"))
-            right = sets.select(F.col("class").alias("hub"), F.col("hashes").alias("y"))
-            both = new.join(left, "node").join(right, "hub").select("node", "hub", "x", "y")
-            found = landed(both.mapInArrow(confirm(percent), "a binary, b binary"))
-            edges = landed(edges.union(found))
-            compared = landed(compared.union(new.select("node", "hub")))
-            roots = components(edges)
-        members = landed(
-            active.select("key", "class").join(hubs.withColumnRenamed("hub", "class"), ["key", "class"], "left_anti")
-        )
-        round_ += 1
-    return spark.createDataFrame([], "node binary, root binary") if roots is None else roots
+    nodes = landed(members.select("node").distinct().join(classes, "node").select("node", "class", "doc_id"))
+    # One document of each class; an id may be null or stand for several texts.
+    ids = nodes.select(F.coalesce("doc_id", F.lit(-1)).alias("id")).distinct()
+    texts = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text").join(ids, "id", "left_semi")
+    made = texts.select("id", "text").mapInArrow(sets_of(width), "wanted long, class binary, hashes binary")
+    wanted = nodes.select("node", "class")
+    sets = landed(made.join(wanted, "class").groupBy("node").agg(F.min("hashes").alias("hashes")))
+    shingles = sets.select("node", "hashes").mapInArrow(exploded, "node long, shingle long")
+    held = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    alone = held.filter("n = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    known = sets.withColumn("n", (F.octet_length("hashes") / 8).cast("long")).join(alone, "node", "left")
+    known = known.withColumn("alone", F.coalesce("alone", F.lit(0)))
+    return landed(known.filter(100 * (F.col("n") - F.col("alone")) >= percent * F.col("n")))
 
 
-def least_classes(active: DataFrame, count: int) -> DataFrame:
-    """The ``count`` least classes of each key; Spark limits each task's rows before it shuffles."""
-    from pyspark.sql import Window
+def may_link(percent: int) -> F.Column:
+    """Whether the bound lets node and hub be linked: shared shingles over a union with all others."""
+    common_most = F.least(F.col("n") - F.col("alone"), F.col("hub_n") - F.col("hub_alone"))
+    union_least = F.greatest(F.col("n") + F.col("hub_alone"), F.col("hub_n") + F.col("alone"))
+    return 100 * common_most >= percent * union_least
 
-    order = Window.partitionBy("key").orderBy("class")
-    ranked = active.select("key", "class", F.row_number().over(order).alias("at"))
-    return ranked.filter(F.col("at") <= count).select("key", F.col("class").alias("hub"))
 
+def links(docs: DataFrame, described: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """node, root of all classes that have a link."""
+    keys = classes.select("node", "signature").mapInArrow(leave_one_out, "key long, node long")
+    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    members = landed(keys.join(shared.filter("least <> most").select("key"), "key"))
+    sets = linkable(members, docs, described, classes, width, percent)
+    members = landed(members.join(sets.select("node", "n", "alone"), "node"))
+
+    best = members.groupBy("key").agg(F.min(F.struct("alone", "node", "n")).alias("h"))
+    hubs = best.select("key", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.alone").alias("hub_alone"))
+    pairs = members.join(hubs, "key").filter("node <> hub").filter(may_link(percent))
+    pairs = pairs.groupBy("node").agg(F.min(F.struct("hub_alone", "hub")).alias("best")).select("node", "best.hub")
+    left = sets.select("node", F.col("hashes").alias("x"))
+    right = sets.select(F.col("node").alias("hub"), F.col("hashes").alias("y"))
+    both = pairs.join(left, "node").join(right, "hub").select("node", "hub", "x", "y")
+    found = landed(both.mapInArrow(confirm(percent), "a long, b long"))
+    roots = components(found)
+
+    labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Without the classes that can't be linked even with the one that has the fewest shingles alone.
+    fewest = labelled.groupBy("key").agg(F.min("alone").alias("fewest"))
+    alive = labelled.join(fewest, "key")
+    alive = alive.filter(100 * (F.col("n") - F.col("alone")) >= percent * (F.col("n") + F.col("fewest")))
+    state = alive.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("node").alias("first"))
+    active = alive.join(state.filter("least <> most").select("key", "first"), "key")
+    active = landed(active.groupBy("node", "first").agg(F.min("root").alias("root")))
+    groups = components(active.select(F.col("first").alias("a"), F.col("node").alias("b")).filter("a <> b"))
+    missed = landed(compared(active, groups, sets, percent))
+    return roots if missed.isEmpty() else components(found.union(missed))
+
+
+def compared(active: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between the components of each group, at least one where there are any."""
+    roots = active.groupBy("node").agg(F.min("root").alias("root"))
+    placed = groups.select("node", F.col("root").alias("group")).join(roots, "node")
+    sized = placed.join(sets.select("node", "n"), "node")
+    counts = sized.groupBy("group").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
+    needed = F.greatest(F.col("classes") / BLOCK_CLASSES, F.col("shingles") / BLOCK_SHINGLES)
+    counts = counts.select("group", F.ceil(needed).cast("int").alias("blocks"))
+    dealt = placed.join(counts, "group").withColumn("block", F.pmod(F.hash("node"), "blocks"))
+    whole = dealt.join(sets.select("node", "hashes"), "node").groupBy("group", "block")
+    held = landed(whole.agg(F.collect_list(F.struct("node", "root", "hashes")).alias("rows"), F.min("blocks").alias("blocks")))
+    later = F.explode(F.sequence("block", F.col("blocks") - 1)).alias("second")
+    earlier = F.explode(F.sequence(F.lit(0), "block")).alias("first")
+    left = held.select("group", F.col("block").alias("first"), F.col("rows").alias("x"), later)
+    right = held.select("group", F.col("block").alias("second"), F.col("rows").alias("y"), earlier)
+    met = left.join(right, ["group", "first", "second"]).select("x", "y")
+    return met.mapInArrow(between(percent), "a long, b long")
+
+
+def between(percent: int):
+    """Links between the sets of two blocks, one for each two components at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                x, y = (pa.concat_arrays([batch.column(c)[row].values]) for c in (0, 1))
+                a, b = linked(x, y, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-def worth(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes and signatures allow a link."""
-    a = classes.select(F.col("class").alias("node"), F.col("n_shingles").alias("n"), F.col("signature").alias("s"))
-    b = classes.select(F.col("class").alias("hub"), F.col("n_shingles").alias("m"), F.col("signature").alias("t"))
-    both = pairs.join(a, "node").join(b, "hub")
-    sized = both.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    return sized.filter(differing("s", "t") <= MOST_DIFFERENT).select("node", "hub")
+    return run
 
 
-def whole_sets(docs: DataFrame, described: DataFrame, pairs: DataFrame, known: DataFrame | None, width: int) -> DataFrame:
-    """class, hashes of all classes of the pairs, added to those known."""
-    wanted = pairs.select(F.col("node").alias("class")).union(pairs.select(F.col("hub").alias("class"))).distinct()
-    if known is not None:
-        wanted = wanted.join(known.select("class"), "class", "left_anti")
-    # One document of each class; an id may be null or stand for several texts.
-    ids = described.join(wanted, "class").groupBy("class").agg(F.min(F.coalesce("doc_id", F.lit(-1))).alias("id"))
-    ids = ids.select("id").distinct()
-    texts = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("id"), "text").join(ids, "id", "left_semi")
-    made = texts.select("id", "text").mapInArrow(sets_of(width), "wanted long, class binary, hashes binary")
-    made = made.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("hashes").alias("hashes"))
-    return landed(made if known is None else made.union(known))
+def linked(x: pa.StructArray, y: pa.StructArray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    numbers = lambda s, field: s.field(field).to_numpy(zero_copy_only=False)
+    sets = [[np.frombuffer(h, np.uint64) for h in s.field("hashes").to_pylist()] for s in (x, y)]
+    sizes = [np.array([len(h) for h in side], np.int64) for side in sets]
+    tokens = [np.concatenate(side) for side in sets]
+    owners = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    shared = np.intersect1d(*tokens)
+    places = []
+    for token, owner in zip(tokens, owners):
+        at = np.searchsorted(shared, token)
+        at[at == len(shared)] = 0
+        keep = shared[at] == token if len(shared) else np.zeros(len(token), bool)
+        places.append((at[keep], owner[keep]))
+    counts = np.zeros((len(sizes[0]), len(sizes[1])), np.float32)
+    for start in range(0, len(shared), COLUMNS):
+        sides = []
+        for (at, owner), n in zip(places, sizes):
+            here = (at >= start) & (at < start + COLUMNS)
+            held = np.zeros((len(n), min(COLUMNS, len(shared) - start)), np.float32)
+            held[owner[here], at[here] - start] = 1
+            sides.append(held)
+        counts += sides[0] @ sides[1].T
+    both = counts.astype(np.int64)
+    close = 100 * both >= percent * (sizes[0][:, None] + sizes[1] - both)
+    roots = [numbers(s, "root") for s in (x, y)]
+    i, j = np.nonzero(close & (roots[0][:, None] != roots[1]))
+    ends = np.sort(np.stack([roots[0][i], roots[1][j]]), axis=0)
+    _, first = np.unique(ends, axis=1, return_index=True) if len(i) else (None, np.empty(0, np.int64))
+    return numbers(x, "node")[i[first]], numbers(y, "node")[j[first]]
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
@@ -268,14 +309,13 @@ def classified(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     shape = "doc_id long, n_shingles long, class binary, signature binary"
     described = landed(docs.mapInArrow(describe(width), shape))
-    classes = landed(
-        described.filter("class is not null")
-        .groupBy("class")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
-    )
+    classes = described.filter("class is not null").groupBy("class")
+    classes = classes.agg(F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature"))
+    # Numbers are shorter than names; they stay as they are once written.
+    classes = landed(classes.withColumn("node", F.monotonically_increasing_id()))
     roots = links(docs, described, classes, width, percent)
-    rooted = classes.select("class", "doc_id").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    rooted = landed(rooted.select("class", "doc_id", F.coalesce("root", "class").alias("root")))
+    rooted = classes.select("class", "node", "doc_id").join(roots, "node", "left")
+    rooted = landed(rooted.select("class", "doc_id", F.coalesce("root", "node").alias("root")))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     ids = rooted.select("class", "root").join(least, "root")
     return described.select("doc_id", "n_shingles", "class").join(ids, "class", "left")
