@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gradeflow.llm import bpe, mixing, near_dedup, quality, toxicity
 from gradeflow.llm.common import landed, ship, table
