@@ -2,8 +2,8 @@
 
 Element subtrees are hashed on each page and counted per host.  Subtrees that recur on
 many pages of their host are its template and are deleted, besides what is marked as
-lying around the main text.  Paragraphs, headings and list items inside an article are
-its content: copies of an article must not turn it into a template.
+lying around the main text.  Pages of one main content count once, so that copies of an
+article do not turn it into a template.
 """
 
 from __future__ import annotations
@@ -11,29 +11,39 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeflow.llm.common import landed
-from gradeflow.llm.markup import main_text, parse
+from gradeflow.llm.markup import Page, main_text, parse
 from gradeflow.llm.urls import with_parts
 
-#: A template is on at least so many pages of a host, and on this share of them.
+#: A template is on pages of at least so many main contents of a host, and of this share of them.
 MANY, SHARE = 8, 0.2
 #: In place of a subtree's hash: the page itself.
 PAGE = -1
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, hash of the different subtrees of each page, and one row for the page."""
+    """host, hash of the different subtrees of each page, and one row for the page; its main content."""
     for batch in batches:
-        hosts, hashes = [], []
+        hosts, hashes, contents = [], [], []
         for host, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            own = {tree.hash for tree in parse(text.as_py() or "").subtrees}
+            page = parse(text.as_py() or "")
+            own = {tree.hash for tree in page.subtrees}
             own.add(PAGE)
             hosts.extend([host] * len(own))
             hashes.extend(own)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["host", "hash"])
+            contents.extend([content(page)] * len(own))
+        columns = [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(contents, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "hash", "content"])
+
+
+def content(page: Page) -> int:
+    """Tells main contents apart: what is left of a page before any template is known."""
+    text = main_text(page, frozenset())
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,12 +63,13 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFrame:
-    """host, templates: the hashes of subtrees on many pages of the host.
+    """host, templates: the hashes of subtrees beside many main contents of the host.
 
     A host has at most 1 / ``share`` times as many as its pages have subtrees on average.
     """
-    counts = pages.select("host", "html").mapInArrow(_subtrees, "host string, hash long")
-    counts = landed(counts.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= many))
+    counts = pages.select("host", "html").mapInArrow(_subtrees, "host string, hash long, content long")
+    # Distinct first: a hot subtree's contents are dealt out before they are counted.
+    counts = landed(counts.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= many))
     total = counts.filter(F.col("hash") == PAGE).select("host", F.col("n").alias("pages"))
     often = counts.filter(F.col("hash") != PAGE).join(total, "host").filter(F.col("n") >= share * F.col("pages"))
     return often.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("templates"))
@@ -70,8 +81,8 @@ def extract(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFra
     Blocks of the main text are joined by two line ends; white space within a block
     is one space and character references are decoded.  A page whose html is null, empty
     or all template has an empty text; broken markup is read as far as it goes.  A null
-    URL has an empty host, like all without "://".  Repeated rows count as pages each and
-    give a row each; an empty table gives none; other columns are ignored.
+    URL has an empty host, like all without "://".  Repeated rows and other
+    copies of a main content count as one page and give a row each; an empty table gives none; other columns are ignored.
     """
     rows = with_parts(pages.select("page_id", "url", "html"))
     found = landed(templates(rows, many, share))

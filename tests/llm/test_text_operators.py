@@ -74,6 +74,23 @@ def test_templates_of_a_host_are_removed_and_copies_kept(spark):
     assert html_extraction.extract(pages(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<body><div id=page><article><h1>T</h1><p>same</p></article></div></body>",
+        "<article><div class=body><p>same</p><p>text</p></div></article>",
+        "<article><section><h2>T</h2><ul><li>a</li><li>b</li></ul></section></article>",
+        "<article><p>x</p><table><tr><td>a</td><td>b</td></tr></table><figure><img>c</figure><ol><li>d</ol></article>",
+        "<body><div><p>same</p><div>loose text</div></div></body>",
+    ],
+)
+def test_copies_keep_their_text_in_whatever_elements(spark, html):
+    rows = [(i, f"http://c.org/{i}", f"<nav>{i}</nav>{html}<footer>f {i}</footer>") for i in range(40)]
+    rows += [rows[0]] * 20
+    got = html_extraction.extract(pages(spark, rows)).collect()
+    assert len(got) == 60 and {r.text for r in got} == {block_text(html)}
+
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, label int, digest string"
 
 
