@@ -1,8 +1,9 @@
 """Main text of pages by removing site templates.
 
-Element subtrees are hashed on each page and counted per host.  Subtrees that recur on
-many pages of their host are its template and are deleted, besides what is marked as
-lying around the main text.  Pages of one main content count once, so that copies of an
+All element subtrees are hashed on each page and counted per host, whatever their tags and
+classes.  Those that recur on many pages of their host are its template and are deleted.
+A following step deletes what tags and classes mark as lying around the main text, and
+what is outside the articles of a page that still has text in one.  Pages of one main content count once, so that copies of an
 article do not turn it into a template.
 """
 
@@ -30,7 +31,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, hashes, contents = [], [], []
         for host, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            page = parse(text.as_py() or "")
+            page = parse(text.as_py() or "", host)
             own = {tree.hash for tree in page.subtrees}
             own.add(PAGE)
             hosts.extend([host] * len(own))
@@ -49,8 +50,8 @@ def content(page: Page) -> int:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for text, templates in zip(batch.column(2), batch.column(3).to_pylist()):
-            texts.append(main_text(parse(text.as_py() or ""), frozenset(templates or ())))
+        for text, host, templates in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+            texts.append(main_text(parse(text.as_py() or "", host), frozenset(templates or ())))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -86,5 +87,5 @@ def extract(pages: DataFrame, many: int = MANY, share: float = SHARE) -> DataFra
     """
     rows = with_parts(pages.select("page_id", "url", "html"))
     found = landed(templates(rows, many, share))
-    joined = rows.join(found, "host", "left").select(F.col("page_id").cast("long"), "url", "html", "templates")
+    joined = rows.join(found, "host", "left").select(F.col("page_id").cast("long"), "url", "html", "host", "templates")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass
+from itertools import accumulate
 
 import xxhash
 
@@ -49,8 +50,6 @@ ENDS = {
 }
 #: Start tags that end an open paragraph.
 ENDS_P = BLOCKS - {"body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"}
-#: Elements whose text is content wherever it stands inside an article.
-CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption article main".split())
 MOST_OPEN = 2000
 
 _TOKEN = re.compile(
@@ -65,6 +64,8 @@ _HIDDEN = re.compile(
     re.IGNORECASE,
 )
 _PART = re.compile(r"[a-z]+")
+#: Hash of a run of blocks: a polynomial in BASE over their hashes, modulo a prime.
+PRIME, BASE = (1 << 61) - 1, 0x1D2B3C4D5E6F7081 % ((1 << 61) - 1)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in RAW}
 
 
@@ -81,6 +82,7 @@ class Subtree:
 class Page:
     blocks: list[str]
     within: list[int]  # 2 inside an article, 1 inside a main element, 0 elsewhere
+    around: list[bool]  # marked as lying around the main text
     subtrees: list[Subtree]
 
 
@@ -90,7 +92,7 @@ class _Open:
     dropped: bool
     within: int
     start: int
-    bare: bool  # its text may be a template
+    block: str  # the name of the nearest element of BLOCKS, itself included
 
 
 def marks(attributes: str) -> set[str]:
@@ -119,35 +121,56 @@ def is_around(name: str, attributes: str, within: int) -> bool:
     return not within and name != "article" and not words.isdisjoint(HEADS) and name in ("div", "section", "table")
 
 
-def parse(text: str) -> Page:
-    """Blocks of text outside all that lies around, with the subtrees that hold them.
+def parse(text: str, host: str | None = "") -> Page:
+    """Blocks of text, marked where they lie around, with the subtrees that hold them.
 
-    End tags may be missing or misplaced: an end tag closes what is open inside its
-    element, one without its element means nothing, and what the text leaves open ends
-    with it.
+    Each element of BLOCKS is a subtree, and each block alone as one of its nearest such
+    element; other elements lie in a block or hold whole ones.  What subtrees of different
+    hosts hash to differs.  End tags may be missing or misplaced: an end tag closes what is
+    open inside its element, one without its element means nothing, and what the text
+    leaves open ends with it.
     """
-    page = Page([], [], [])
-    stack = [_Open("", False, 0, 0, False)]
+    page = Page([], [], [], [])
+    stack = [_Open("", False, 0, 0, "")]
+    # Text of elements that lie around is kept apart from the block they stand in.
     run: list[str] = []
+    aside: list[str] = []
+    sums, powers = [0], [1]
+
+    def add(name: str, start: int) -> None:
+        stop = len(page.blocks)
+        held = (sums[stop] - sums[start] * powers[stop - start]) % PRIME
+        value = xxhash.xxh3_64_intdigest(f"{host or ''}\n{name}\n{stop - start}\n{held}".encode("utf-8", "surrogatepass")) >> 1
+        page.subtrees.append(Subtree(start, stop, value))
+
+    def end(pieces: list[str], around: bool) -> None:
+        words = html.unescape("".join(pieces)).split()
+        pieces.clear()
+        if words:
+            block = " ".join(words)
+            sums.append((sums[-1] * BASE + xxhash.xxh3_64_intdigest(block.encode("utf-8", "surrogatepass"))) % PRIME)
+            powers.append(powers[-1] * BASE % PRIME)
+            page.blocks.append(block)
+            page.within.append(stack[-1].within)
+            page.around.append(around)
+            add(stack[-1].block, len(page.blocks) - 1)
 
     def flush() -> None:
         if run:
-            words = html.unescape("".join(run)).split()
-            run.clear()
-            if words:
-                page.blocks.append(" ".join(words))
-                page.within.append(stack[-1].within)
+            end(run, False)
+        if aside:
+            end(aside, True)
 
     def close(depth: int) -> None:
         while len(stack) > depth:
             top = stack[-1]
             if top.name in BLOCKS:
                 flush()
+                if top.start < len(page.blocks):
+                    add(top.name, top.start)
+            elif top.dropped and not stack[-2].dropped and aside:
+                end(aside, True)
             stack.pop()
-            if top.bare and top.start < len(page.blocks):
-                held = "\n".join([top.name, *page.blocks[top.start :]])
-                value = xxhash.xxh3_64_intdigest(held.encode("utf-8", "surrogatepass")) >> 1
-                page.subtrees.append(Subtree(top.start, len(page.blocks), value))
 
     # No tag ends behind the last ">"; what begins there is cut off.
     at, size = 0, len(text)
@@ -157,8 +180,8 @@ def parse(text: str) -> Page:
     while at < size:
         found = _TOKEN.search(text, at, closed) if at < closed else None
         stop = found.start() if found else size
-        if stop > at and not stack[-1].dropped:
-            run.append(text[at:stop])
+        if stop > at:
+            (aside if stack[-1].dropped else run).append(text[at:stop])
         if not found:
             break
         at = found.end()
@@ -182,8 +205,7 @@ def parse(text: str) -> Page:
                 flush()
             continue
         if name == "br":
-            if not stack[-1].dropped:
-                run.append(" ")
+            (aside if stack[-1].dropped else run).append(" ")
             continue
         if name in ENDS_P:
             for depth in range(len(stack) - 1, 0, -1):
@@ -214,19 +236,19 @@ def parse(text: str) -> Page:
         elif name == "main" or "main" in attributes and "main" in marks(attributes) and "role" in attributes:
             within = max(within, 1)
         if len(stack) < MOST_OPEN:
-            bare = name in BLOCKS and not dropped and name not in ("html", "body", "article", "main")
-            bare = bare and not (within and name in CONTENT)
-            stack.append(_Open(name, dropped, within, len(page.blocks), bare))
+            stack.append(_Open(name, dropped, within, len(page.blocks), name if name in BLOCKS else top.block))
     close(1)
     flush()
     return page
 
 
 def main_text(page: Page, templates: set[int] | frozenset[int]) -> str:
-    """The blocks outside the given subtrees; of articles if there are any, else of main."""
-    gone: set[int] = set()
+    """The blocks outside the given subtrees that do not lie around; of articles if there are any, else of main."""
+    steps = [0] * (len(page.blocks) + 1)
     for tree in page.subtrees:
         if tree.hash in templates:
-            gone.update(range(tree.start, tree.stop))
-    level = max((w for i, w in enumerate(page.within) if i not in gone), default=0)
-    return "\n\n".join(b for i, b in enumerate(page.blocks) if i not in gone and page.within[i] == level)
+            steps[tree.start] += 1
+            steps[tree.stop] -= 1
+    left = [i for i, held in enumerate(accumulate(steps[:-1])) if not held and not page.around[i]]
+    level = max((page.within[i] for i in left), default=0)
+    return "\n\n".join(page.blocks[i] for i in left if page.within[i] == level)

@@ -91,6 +91,25 @@ def test_copies_keep_their_text_in_whatever_elements(spark, html):
     assert len(got) == 60 and {r.text for r in got} == {block_text(html)}
 
 
+def test_counts_decide_on_every_subtree(spark):
+    around = "<nav><ul><li><a>Home</a></li><li>News</li></ul></nav><div class=ad>Buy</div><p>Loose <b>words</b></p>"
+    inside = "<p>Read more on our site.</p><ul><li>Share this</li></ul><div>loose</div>"
+    html = [f"{around}<article><h1>T {i}</h1><p>own {i}</p>{inside}</article>" for i in range(30)]
+    rows = [(i, f"http://a.org/{i}", text) for i, text in enumerate(html)]
+    rows += [(100 + i, f"http://b.org/{i}", text) for i, text in enumerate(html[:3])]
+    got = {r.page_id: r.text for r in html_extraction.extract(pages(spark, rows)).collect()}
+    rest = "Read more on our site.\n\nShare this\n\nloose"
+    wanted = {i: f"T {i}\n\nown {i}" for i in range(30)}
+    assert got == wanted | {100 + i: f"{wanted[i]}\n\n{rest}" for i in range(3)}
+    # What is marked as around the text is counted as well, alone and as a whole.
+    found = html_extraction.templates(html_extraction.with_parts(pages(spark, rows[:30]).select("page_id", "url", "html")))
+    hashes = {h for r in found.collect() for h in r.templates}
+    page = markup.parse(html[0], "a.org")
+    kept = {i for t in page.subtrees if t.hash not in hashes for i in range(t.start, t.stop) if t.stop == t.start + 1}
+    assert {page.blocks[i] for i in kept} == {"T 0", "own 0"}
+    assert any(t.hash in hashes and t.stop - t.start == 2 and page.blocks[t.start] == "Home" for t in page.subtrees)
+
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, label int, digest string"
 
 
