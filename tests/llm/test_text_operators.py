@@ -110,6 +110,18 @@ def test_counts_decide_on_every_subtree(spark):
     assert any(t.hash in hashes and t.stop - t.start == 2 and page.blocks[t.start] == "Home" for t in page.subtrees)
 
 
+def test_templates_do_not_depend_on_host_size(spark):
+    box = "<div><p>Side box</p></div>"
+    # On the large host the box is on one page in 50, and the foot is hot.
+    large = [f"{box if i % 50 == 0 else ''}<p>own {i}</p><p>Foot</p>" for i in range(1000)]
+    rows = [(i, f"http://large.org/{i}", text) for i, text in enumerate(large)]
+    rows += [(2000 + i, f"http://small.org/{i}", f"{box}<p>own {i}</p><p>Foot</p>") for i in range(20)]
+    rows += [(3000 + i, f"http://less.org/{i}", f"{box if i < 7 else ''}<p>own {i}</p>") for i in range(40)]
+    got = {r.page_id: r.text for r in html_extraction.extract(pages(spark, rows)).collect()}
+    wanted = {i: f"own {i % 1000}" for i in (*range(1000), *range(2000, 2020), *range(3000, 3040))}
+    assert got == wanted | {3000 + i: f"Side box\n\nown {i}" for i in range(7)}
+
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, label int, digest string"
 
 
