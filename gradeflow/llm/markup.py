@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -50,7 +52,6 @@ ENDS = {
 }
 #: Start tags that end an open paragraph.
 ENDS_P = BLOCKS - {"body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"}
-MOST_OPEN = 2000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"
@@ -132,6 +133,9 @@ def parse(text: str, host: str | None = "") -> Page:
     """
     page = Page([], [], [], [])
     stack = [_Open("", False, 0, 0, "")]
+    # Depths of the open elements of each name, and of all of BLOCKS, so that no search walks the stack.
+    depths: defaultdict[str, list[int]] = defaultdict(list)
+    blocks: list[int] = []
     # Text of elements that lie around is kept apart from the block they stand in.
     run: list[str] = []
     aside: list[str] = []
@@ -171,6 +175,9 @@ def parse(text: str, host: str | None = "") -> Page:
             elif top.dropped and not stack[-2].dropped and aside:
                 end(aside, True)
             stack.pop()
+            depths[top.name].pop()
+            if top.name in BLOCKS:
+                blocks.pop()
 
     # No tag ends behind the last ">"; what begins there is cut off.
     at, size = 0, len(text)
@@ -192,10 +199,8 @@ def parse(text: str, host: str | None = "") -> Page:
             continue
         name = name.lower()
         if found["end"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    close(depth)
-                    break
+            if name in depths and depths[name]:
+                close(depths[name][-1])
             continue
         attributes = found["attributes"] or ""
         if name in RAW:
@@ -207,23 +212,14 @@ def parse(text: str, host: str | None = "") -> Page:
         if name == "br":
             (aside if stack[-1].dropped else run).append(" ")
             continue
-        if name in ENDS_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == "p":
-                    close(depth)
-                    break
-                if stack[depth].name in BLOCKS:
-                    break
+        if name in ENDS_P and blocks and stack[blocks[-1]].name == "p":
+            close(blocks[-1])
         if name in ENDS:
             ended_by, bounds = ENDS[name]
-            last = 0
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name in bounds:
-                    break
-                if stack[depth].name in ended_by:
-                    last = depth
-            if last:
-                close(last)
+            bound = max((depths[other][-1] for other in bounds if depths[other]), default=0)
+            inner = [d[i] for d in map(depths.__getitem__, ended_by) if (i := bisect_right(d, bound)) < len(d)]
+            if inner:
+                close(min(inner))
         if name in BLOCKS:
             flush()
         if name in VOID or attributes.endswith("/") and name not in BLOCKS:
@@ -235,8 +231,10 @@ def parse(text: str, host: str | None = "") -> Page:
             within = 2
         elif name == "main" or "main" in attributes and "main" in marks(attributes) and "role" in attributes:
             within = max(within, 1)
-        if len(stack) < MOST_OPEN:
-            stack.append(_Open(name, dropped, within, len(page.blocks), name if name in BLOCKS else top.block))
+        depths[name].append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
+        stack.append(_Open(name, dropped, within, len(page.blocks), name if name in BLOCKS else top.block))
     close(1)
     flush()
     return page

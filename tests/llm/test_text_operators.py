@@ -57,6 +57,16 @@ def test_blocks_of_markup(html, text):
     assert block_text(html) == text
 
 
+@pytest.mark.parametrize("name", ["font", "div", "b", "span"])
+def test_no_number_of_open_elements_changes_the_text(name):
+    many = f"<{name}>" * 5000
+    rest = "<form><p>f</p></form><div class=comments><p>c</p></div><nav>n</nav><article>x</article><p>b</p></article><p>out</p>"
+    assert block_text(f"<article><p>a</p>{many}{rest}") == "a\n\nx\n\nb"
+    # Each step looks at the top of the stack only, or this would take hours.
+    deep = "".join(f"<{name}><li>{i}" for i in range(50_000)) + "</ul></i>" * 50_000
+    assert block_text(deep).count("\n\n") == 49_999
+
+
 def test_templates_of_a_host_are_removed_and_copies_kept(spark):
     notice = "<div><p>Join   us</p><p>today</p></div>"
     rows = [(i, f"http://A.org/{i}", f"<body>{notice}<p>own {i}</p></body>") for i in range(30)]
