@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import math
 import os
 import tempfile
 import uuid
@@ -80,3 +81,17 @@ def split_remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; ids that are null count as empty text."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % modulus
+
+
+#: The values that a hash is taken to be one of when a share of keys is chosen.
+STEPS = 1 << 62
+
+
+def steps_of(share: float) -> int:
+    """How many of ``STEPS`` hash values are a share: above 0 for any share above 0."""
+    return min(STEPS, math.ceil(share * STEPS)) if share > 0 else 0
+
+
+def in_share(share: float, *keys: str | Column) -> Column:
+    """Whether the keys' hash lies in the first ``share`` of its range; the same keys always agree."""
+    return F.pmod(F.xxhash64(*keys), F.lit(STEPS)) < F.lit(steps_of(share))

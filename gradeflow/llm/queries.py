@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeflow.llm import bpe, exact_topk, html_extraction, mixing, near_dedup, neighbours, quality, token_counts, toxicity, urls
+from gradeflow.llm import (
+    bpe,
+    centroids,
+    decontamination,
+    exact_topk,
+    html_extraction,
+    mixing,
+    near_dedup,
+    neighbours,
+    prefix_trie,
+    quality,
+    token_counts,
+    toxicity,
+    urls,
+)
 from gradeflow.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +71,18 @@ def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def shipped(query: Query) -> Query:
     """The query after the workers got this package."""
 
@@ -78,11 +104,18 @@ _QUERIES: dict[str, Query] = {
     "op8_token_counts": piece_token_counts,
     "op9_mixing_targets": mixing_targets,
     "op10_nearest_neighbours": nearest_neighbours,
+    "op12_prefix_trie": conversation_trie,
+    "op13_ns_centroids": centroid_clusters,
 }
+#: Made of DataFrame functions alone: nothing to send to Python workers.
+_NATIVE: dict[str, Query] = {"op11_benchmark_passages": benchmark_passages}
 
-QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
+QUERIES = {name: shipped(query) for name, query in _QUERIES.items()} | _NATIVE
 
 SQL: dict[str, str] = {
     "op4_exact_top_k": exact_topk.TOPK_SQL,
     "op9_mixing_targets": mixing.MIX_SQL,
+    "op11_benchmark_passages": decontamination.CONTAMINATION_SQL,
+    "op12_prefix_trie": prefix_trie.TRIE_SQL,
+    "op13_ns_centroids": centroids.CLUSTER_SQL,
 }

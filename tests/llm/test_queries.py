@@ -26,6 +26,15 @@ SHAPES = {
     "op8_token_counts": ({"doc_id", "n_bytes", "n_tokens", "over_limit"}, "documents"),
     "op9_mixing_targets": ({"doc_id", "size", "source_size", "target", "taken"}, "documents"),
     "op10_nearest_neighbours": ({"query_id", "rank", "vec_id", "score"}, None),
+    "op11_benchmark_passages": ({"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"}, "documents"),
+    "op12_prefix_trie": (
+        {"conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"},
+        None,
+    ),
+    "op13_ns_centroids": (
+        {"vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"},
+        "embeddings",
+    ),
 }
 
 
