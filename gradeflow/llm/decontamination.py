@@ -21,26 +21,32 @@ from pyspark.sql import functions as F
 
 from gradeflow.llm.common import landed
 
-#: A word is a run of digits, lower-case letters and whatever is beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A word is a run of digits, lower-case letters and whatever is beyond ASCII; these stand between words.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a window.
 WIDTH = 10
 #: Lists that are intersected before a candidate is compared in full.
 LISTS = 2
+#: Most rows whose numbers are sent to every task, 8 bytes each.
+SENT = 1 << 21
 #: Consecutive words of a document that must hold all words of a passage for a proximity match.
 NEAR = 20
 
 
-def words(text: str) -> Column:
-    """The words of a text column, A-Z lower-cased; none of null."""
+def plain(text: str) -> Column:
+    """The words of a text column, A-Z lower-cased, with one space between them; empty for null."""
     lower = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), UPPER, LOWER)
-    return F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
+    return F.trim(F.regexp_replace(lower, BETWEEN, " "))
+
+
+def words(plain_text: Column) -> Column:
+    return F.filter(F.split(plain_text, " "), lambda w: w != "")
 
 
 @dataclass(frozen=True)
 class Index:
-    """``tokens`` (row, doc_id, words): the documents; ``postings`` (term, row, pos)."""
+    """``tokens`` (row, doc_id, n_words, plain): the documents; ``postings`` (term, row, pos)."""
 
     tokens: DataFrame
     postings: DataFrame
@@ -51,9 +57,12 @@ def index(docs: DataFrame, terms: DataFrame | None = None) -> Index:
 
     ``row`` numbers the rows of ``docs``, so that repeated and null ids stay apart.
     """
-    row = F.monotonically_increasing_id().alias("row")
-    tokens = landed(docs.select(row, F.col("doc_id"), words("text").alias("words")))
-    postings = tokens.select("row", F.posexplode("words").alias("pos", "term"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", plain("text").alias("plain"))
+    spaces = F.length("plain") - F.length(F.replace(F.col("plain"), F.lit(" ")))
+    n_words = F.when(F.col("plain") == "", 0).otherwise(spaces + 1).cast("long")
+    tokens = landed(rows.select("row", "doc_id", n_words.alias("n_words"), "plain"))
+    # Not words(): a text without words is left out beforehand.
+    postings = tokens.filter("n_words > 0").select("row", F.posexplode(F.split("plain", " ")).alias("pos", "term"))
     if terms is not None:
         postings = postings.join(terms, "term", "left_semi")
     return Index(tokens, landed(postings.select("term", "row", "pos").sortWithinPartitions("term")))
@@ -66,7 +75,7 @@ def passages(items: DataFrame, width: int | None = WIDTH) -> tuple[DataFrame, Da
     with ``width`` null an item is one passage.  Items without words have none.  ``item`` is the
     id as text, empty if null; rows of one id are one item.
     """
-    named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words("text").alias("all"))
+    named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(plain("text")).alias("all"))
     named = named.filter("size(all) > 0").distinct()
     if width is None:
         cut = named.select("item", F.col("all").alias("words"))
@@ -83,7 +92,7 @@ def rarest(postings: DataFrame, found: DataFrame, lists: int) -> DataFrame:
 
     ``lists`` is how many there are of a passage; fewer than asked for if it is shorter.
     """
-    known = postings.groupBy("term").agg(F.count("*").alias("n"))
+    known = landed(postings.groupBy("term").agg(F.count("*").alias("n")))
     each = found.select("passage", F.size("words").alias("length"), F.posexplode("words").alias("offset", "term"))
     each = each.join(known, "term")
     of_passage = W.partitionBy("passage")
@@ -97,8 +106,19 @@ def rarest(postings: DataFrame, found: DataFrame, lists: int) -> DataFrame:
     return landed(ranked.select("term", "passage", "offset", F.least("length", F.lit(lists)).alias("lists")))
 
 
+def with_texts(held: Index, found: DataFrame) -> DataFrame:
+    """``found`` (row, ...), a written table, with doc_id and the ``words`` of its rows.
+
+    Where its rows are few enough to be sent to every task, only their texts are shuffled.
+    """
+    texts = held.tokens.select("row", "doc_id", "plain")
+    if found.count() <= SENT:
+        texts = texts.join(F.broadcast(found.select("row").distinct()), "row", "left_semi")
+    return texts.join(found, "row").withColumn("words", words(F.col("plain"))).drop("plain")
+
+
 def phrase_matches(held: Index, found: DataFrame, lists: int = LISTS) -> DataFrame:
-    """row, doc_id, n_words and ``spans`` of every document: passage, start, stop of each exact match.
+    """row, doc_id and ``spans`` of every document with a match: passage, start, stop of each exact match.
 
     ``start`` counts words from 0; ``stop`` is the first word behind the match.
     """
@@ -108,22 +128,20 @@ def phrase_matches(held: Index, found: DataFrame, lists: int = LISTS) -> DataFra
     )
     # A word stands at one offset of a passage once, so lists that agree are counted by rows.
     agreed = places.filter("start >= 0").groupBy("row", "passage", "start", "lists").agg(F.count("*").alias("n"))
-    candidates = agreed.filter("n = lists").join(found, "passage")
+    candidates = agreed.filter("n = lists").join(found.withColumnRenamed("words", "asked"), "passage")
     # A row's candidates are no more than its own words times the passages that hold one.
-    of_row = candidates.groupBy("row").agg(F.collect_list(F.struct("passage", "start", "words")).alias("candidates"))
-    whole = held.tokens.join(landed(of_row).withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left")
-    same = F.filter(
-        "candidates", lambda c: F.slice("words", c["start"] + 1, F.size(c["words"])) == c["words"]
-    )
+    of_row = candidates.groupBy("row").agg(F.collect_list(F.struct("passage", "start", "asked")).alias("candidates"))
+    same = F.filter("candidates", lambda c: F.slice("words", c["start"] + 1, F.size(c["asked"])) == c["asked"])
     spans = F.transform(
         same,
         lambda c: F.struct(
             c["passage"].alias("passage"),
             c["start"].alias("start"),
-            (c["start"] + F.size(c["words"])).alias("stop"),
+            (c["start"] + F.size(c["asked"])).alias("stop"),
         ),
     )
-    return landed(whole.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), spans.alias("spans")))
+    matched = with_texts(held, landed(of_row)).select("row", "doc_id", spans.alias("spans"))
+    return landed(matched.filter(F.size("spans") > 0))
 
 
 def proximity_matches(held: Index, found: DataFrame, near: int = NEAR, lists: int = LISTS) -> DataFrame:
@@ -139,12 +157,10 @@ def proximity_matches(held: Index, found: DataFrame, near: int = NEAR, lists: in
     stretch = F.explode(F.array("last", F.col("last") - 1)).alias("stretch")
     places = places.select("row", "passage", "lists", "term", stretch).filter("stretch >= 0")
     both = places.groupBy("row", "passage", "stretch", "lists").agg(F.count_distinct("term").alias("n"))
-    candidates = landed(both.filter("n = lists").select("row", "passage", "stretch")).join(sets, "passage")
-    rows = held.tokens.select("row", "doc_id", F.col("words").alias("all"))
+    candidates = landed(both.filter("n = lists").select("row", "passage", "stretch"))
     begin = (F.col("stretch") * near).cast("int")
-    cut = rows.join(candidates, "row").select(
-        "row", "doc_id", "passage", "words", begin.alias("begin"), F.slice("all", begin + 1, 2 * near).alias("all")
-    )
+    stretches = with_texts(held, candidates).withColumn("all", F.slice("words", begin + 1, 2 * near)).drop("words")
+    cut = stretches.join(sets, "passage").withColumn("begin", begin)
     starts = F.filter(
         F.sequence(F.lit(0), F.greatest(F.size("all") - near, F.lit(0))),
         lambda s: F.size(F.array_except("words", F.slice("all", s + 1, near))) == 0,
@@ -171,13 +187,6 @@ def covered(spans: Column) -> Column:
     return folded["words"]
 
 
-def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
-    """The exact matches of the items' windows in ``docs``, and which items hold which (passage, item)."""
-    found, holders = passages(items, width)
-    terms = landed(found.select(F.explode("words").alias("term")).distinct())
-    return phrase_matches(index(docs, terms), found), holders
-
-
 def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``docs``.
 
@@ -187,19 +196,27 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     an item is an empty one; an empty table of documents gives no rows, and one of items no
     hits.  Other columns are ignored.
     """
-    checked, holders = matches(docs.select("doc_id", "text"), items.select("item_id", "text"), width)
-    hit = checked.select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: s["passage"]))).alias("passage"))
+    found, holders = passages(items.select("item_id", "text"), width)
+    terms = landed(found.select(F.explode("words").alias("term")).distinct())
+    held = index(docs.select("doc_id", "text"), terms)
+    matched = phrase_matches(held, found)
+    hit = matched.select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: s["passage"]))).alias("passage"))
     named = hit.join(holders, "passage").groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    rows = checked.select("row", "doc_id", "n_words", covered(F.coalesce("spans", F.array().cast(checked.schema["spans"].dataType))).alias("n_hit"))
-    joined = rows.join(landed(named).withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left")
-    items_of = F.coalesce("items", F.array().cast("array<string>"))
+    told = matched.select("row", covered(F.col("spans")).alias("n_hit")).join(named, "row").select(
+        F.col("row").alias("_row"),
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+    )
+    joined = held.tokens.select("row", "doc_id", "n_words").join(landed(told), F.col("row") == F.col("_row"), "left")
+    none = F.lit(0).cast("long")
     return joined.select(
         "doc_id",
         "n_words",
-        "n_hit",
-        F.size(items_of).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
+        F.coalesce("n_hit", none).alias("n_hit"),
+        F.coalesce("n_items", none).alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        F.col("n_hit").isNotNull().alias("contaminated"),
     )
 
 

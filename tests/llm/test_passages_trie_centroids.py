@@ -68,8 +68,9 @@ def tables(spark, docs, items):
     return d.repartition(3), i.repartition(2)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_contamination_equals_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "sent"), [(1, 1 << 21), (2, 1 << 21), (2, 0)])
+def test_contamination_equals_brute_force(spark, seed, sent, monkeypatch):
+    monkeypatch.setattr(decontamination, "SENT", sent)
     docs, items = passages_fixture(seed)
     got = decontamination.contamination(*tables(spark, docs, items)).collect()
     key = lambda r: tuple((x is None, x or 0) for x in r)
@@ -87,8 +88,9 @@ def test_contamination_of_empty_tables(spark):
 
 def test_spans_name_the_place_of_each_match(spark):
     docs, items = passages_fixture(2)
-    checked, _ = decontamination.matches(*tables(spark, docs, items))
-    found, _ = decontamination.passages(tables(spark, docs, items)[1])
+    d, i = tables(spark, docs, items)
+    found, _ = decontamination.passages(i)
+    checked = decontamination.phrase_matches(decontamination.index(d), found)
     words = {r.passage: r.words for r in found.collect()}
     texts = dict(docs)
     spans = [(r.doc_id, s) for r in checked.collect() for s in r.spans or []]
