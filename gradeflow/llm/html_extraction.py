@@ -1,7 +1,7 @@
 """Main text of pages by removing site templates.
 
 All element subtrees are hashed on each page and counted per host, whatever their tags and
-classes.  Those that recur on many pages of their host are its template and are deleted.
+classes; inside an article those of containers, so that no heading or paragraph of one goes alone.  Those that recur on many pages of their host are its template and are deleted.
 A following step deletes what tags and classes mark as lying around the main text, and
 what is outside the articles of a page that still has text in one.  Pages of one main content count once, so that copies of an
 article do not turn it into a template.

@@ -25,6 +25,8 @@ DROPPED = frozenset(
     "script style textarea title iframe noscript xmp noembed noframes head template nav footer aside form button "
     "select svg math object canvas dialog menu audio video map search datalist".split()
 )
+#: What inside an article can be a template of its own: what holds others, no heading, paragraph or item.
+CONTAINERS = frozenset("aside center details dir div dl fieldset figure ol section table ul".split())
 #: Words of a class, an id or a role that mark what is around the main text.
 AROUND = frozenset(
     "ad ads advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promotion "
@@ -126,7 +128,8 @@ def parse(text: str, host: str | None = "") -> Page:
     """Blocks of text, marked where they lie around, with the subtrees that hold them.
 
     Each element of BLOCKS is a subtree, and each block alone as one of its nearest such
-    element; other elements lie in a block or hold whole ones.  What subtrees of different
+    element; other elements lie in a block or hold whole ones.  Inside an article only
+    CONTAINERS are, so that its headings and paragraphs go with a whole container or not at all.  What subtrees of different
     hosts hash to differs.  End tags may be missing or misplaced: an end tag closes what is
     open inside its element, one without its element means nothing, and what the text
     leaves open ends with it.
@@ -157,7 +160,8 @@ def parse(text: str, host: str | None = "") -> Page:
             page.blocks.append(block)
             page.within.append(stack[-1].within)
             page.around.append(around)
-            add(stack[-1].block, len(page.blocks) - 1)
+            if stack[-1].within < 2:
+                add(stack[-1].block, len(page.blocks) - 1)
 
     def flush() -> None:
         if run:
@@ -170,7 +174,7 @@ def parse(text: str, host: str | None = "") -> Page:
             top = stack[-1]
             if top.name in BLOCKS:
                 flush()
-                if top.start < len(page.blocks):
+                if top.start < len(page.blocks) and (top.within < 2 or top.name == "article" or top.name in CONTAINERS):
                     add(top.name, top.start)
             elif top.dropped and not stack[-2].dropped and aside:
                 end(aside, True)
