@@ -48,8 +48,7 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,19 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
-Examples are a bounded sample of labelled documents.  Terms are words.  The vocabulary holds the terms that
-are so much more frequent in toxic examples than overall that chance does not explain
-it; over these terms, examples and documents are TF-IDF vectors.  An inverted index of the
-examples keeps, for every term and block of examples, the largest weight; a search looks
-at blocks in order of the cosine they can reach and ends when none can improve on the
-k-th best, so that its neighbours are exact.  Their votes, weighted by distance, are
-calibrated on the examples themselves, each left out of its own vote.
-
-The examples' words are counted by Spark; the index is a few thousand postings, bounded
-by the sample, and goes to every worker.
+Examples are a bounded sample of labelled documents.  Terms are all their words, and the first
+letters of longer words, which inflected forms share, with how many there are; none is left out.  Each counts by its
+TF-IDF weight, and the more the less chance explains how concentrated it is in toxic examples,
+since over words that weigh alike the cosine of two texts says nothing about one insult.
+
+An inverted index of the examples keeps the postings of a term in blocks of examples, and the
+largest weight in each; terms of many examples have a full row.  The rows of a batch of documents
+are multiplied at once.  With that a search adds up what cosine each block can reach, looks
+into the postings of the most promising blocks, and then of all others that can still
+improve on the k-th best, so that its neighbours are exact.  Their votes, weighted by distance, are calibrated on the
+examples themselves, each left out of its own vote.
+
+Terms are counted and votes are cast in Spark tasks.  The index is bounded by the sample, in
+documents and in characters, and goes to every worker.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +30,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeflow.llm import labelled
-from gradeflow.llm.common import landed
-
-#: Labelled documents to learn from, at most about this many.
-SAMPLE = 16_000
-#: A term is kept if chance would bring fewer than so many such terms into the vocabulary.
-CHANCE = 0.01
-#: Most words in the vocabulary, the most telling first.
-VOCABULARY = 5000
+
+#: Labelled documents to learn from, at most about this many, with about so many characters.
+SAMPLE, CHARACTERS = 3_000, 12_000_000
+#: Letters that longer words are cut to for terms besides the words.
+PREFIX = 4
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks that a search looks into at first.
+FIRST = 4
+#: A term of more than one in so many examples has a row of all their weights.
+OFTEN = 12
+#: Documents whose rows are multiplied at once.
+BATCH = 128
 THRESHOLD = 0.7
 MODULUS, REMAINDER = 3, 1
 #: Characters that are split into words at a time.
@@ -43,93 +51,161 @@ SLICE = 1 << 18
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def term_counts(text: str, only: dict[str, int] | None = None) -> Counter:
-    """Lower-cased runs of letters and how often they occur, of ``only`` those if given."""
-    counts: Counter = Counter()
+def term_counts(text: str) -> dict[str, int]:
+    """Lower-cased runs of letters and how often they occur, and terms for first letters.
+
+    "abcd*" stands for any longer words that begin so, "abcd*2", "abcd*4" and so on for at
+    least so many of them; each counts once.
+    """
+    words: Counter = Counter()
     lower = text.lower()
     start = 0
     while start < len(lower):
         stop = start + SLICE
         while stop < len(lower) and _WORD.match(lower[stop]):
             stop += 1
-        words = _WORD.findall(lower, start, stop)
-        counts.update(words if only is None else [w for w in words if w in only])
+        words.update(_WORD.findall(lower, start, stop))
         start = stop
+    begun: dict[str, int] = {}
+    for word, n in words.items():
+        if len(word) > PREFIX:
+            prefix = word[:PREFIX]
+            begun[prefix] = begun.get(prefix, 0) + n
+    counts: dict[str, int] = dict(words)
+    for prefix, n in begun.items():
+        counts[prefix + "*"] = 1
+        least = 2
+        while least <= n:
+            counts[f"{prefix}*{least}"] = 1
+            least *= 2
     return counts
 
 
 def chance(toxic: np.ndarray, total: np.ndarray, rate: float) -> np.ndarray:
-    """Chernoff's bound on the probability of so many toxic ones among ``total``."""
+    """The logarithm of Chernoff's bound on the probability of so many toxic ones among ``total``."""
     share = toxic / total
     with np.errstate(divide="ignore", invalid="ignore"):
         a = np.where(share > 0, share * np.log(share / rate), 0.0)
         b = np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - rate)), 0.0)
-    return np.where(share > rate, np.exp(-total * (a + b)), 1.0)
+    return np.where(share > rate, -total * (a + b), 0.0)
 
 
 class Index:
-    """Examples by word: postings in blocks of ids, with each block's largest weight."""
-
-    def __init__(self, terms: dict[str, int], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray):
-        self.terms, self.idf, self.ids, self.labels = terms, idf, ids, labels
-        self.blocks = -(-len(ids) // BLOCK)
-        self.postings: list[tuple[np.ndarray, np.ndarray]] = []
-        self.starts: list[np.ndarray] = []
-        self.largest: list[np.ndarray] = []
-        self.none, self.steps, self.values = 0.0, np.zeros(1), np.zeros(1)
-
-    def weights(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and weights of a document's words, of length one."""
-        at = np.array([self.terms[w] for w in counts], dtype=np.int64)
-        order = np.argsort(at)
-        tf = 1 + np.log(np.array(list(counts.values()), dtype=np.float64))
-        weights = (tf * self.idf[at])[order]
-        return at[order], weights / math.sqrt((weights * weights).sum())
-
-    def fill(self, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
-        by_term: list[list[tuple[int, float]]] = [[] for _ in self.terms]
-        for row, at, weights in rows:
-            for t, w in zip(at, weights):
-                by_term[t].append((row, w))
-        for found in by_term:
-            rows_of = np.array([r for r, _ in found], dtype=np.int64)
-            weights = np.array([w for _, w in found], dtype=np.float64)
-            starts = np.searchsorted(rows_of, np.arange(self.blocks + 1) * BLOCK)
-            largest = np.zeros(self.blocks)
-            np.maximum.at(largest, rows_of // BLOCK, weights)
-            self.postings.append((rows_of, weights))
-            self.starts.append(starts)
-            self.largest.append(largest)
-
-    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
-        """(cosine, row) of the k nearest with a cosine above 0; ties go to the smaller row."""
-        reach = np.zeros(self.blocks)
-        for t, w in zip(at, weights):
-            reach += w * self.largest[t]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-reach, kind="stable"):
-            if reach[block] <= 0 or (len(best) == k and reach[block] < best[-1][0] - 1e-12):
-                break
-            cosines = np.zeros(BLOCK)
-            for t, w in zip(at, weights):
-                start, stop = self.starts[t][block], self.starts[t][block + 1]
-                rows, posted = self.postings[t]
-                cosines[rows[start:stop] - block * BLOCK] += w * posted[start:stop]
-            found = [
-                (round(min(1.0, float(cosines[i])), 12), int(i) + int(block) * BLOCK)
-                for i in np.flatnonzero(cosines > 0)
-                if int(i) + int(block) * BLOCK != but
-            ]
-            best = sorted(best + found, key=lambda x: (-x[0], x[1]))[:k]
-        return best
-
-    def vote(self, near: list[tuple[float, int]]) -> float:
-        closeness = np.array([1 / (1.05 - cosine) for cosine, _ in near])
-        return float((closeness * self.labels[[row for _, row in near]]).sum() / closeness.sum())
-
-    def calibrate(self, votes: np.ndarray, labels: np.ndarray, none: float) -> None:
+    """Examples by term: postings in blocks of examples, with each block's largest weight.
+
+    ``term``, ``example`` and ``count`` say how often a term occurs in an example.
+    """
+
+    def __init__(self, terms: list[str], term: np.ndarray, example: np.ndarray, count: np.ndarray, ids: np.ndarray, labels: np.ndarray):
+        self.terms = {name: i for i, name in enumerate(terms)}
+        self.rate = float(labels.mean()) if len(labels) else 0.0
+        self.steps, self.values = np.zeros(1), np.zeros(1)
+        total = np.bincount(term, minlength=len(terms)).astype(float)
+        self.idf = np.log(1 + len(ids) / np.maximum(total, 1))
+        if 0 < self.rate < 1 and len(terms):
+            toxic = np.bincount(term, labels[example], minlength=len(terms))
+            # Of so many terms some are concentrated by chance: those weigh like others.
+            self.idf *= 1 + np.maximum(0, -chance(toxic, total, self.rate) - math.log(len(terms)))
+        weight = (1 + np.log(count)) * self.idf[term]
+        weight /= np.sqrt(np.bincount(example, weight * weight, minlength=len(ids)))[example]
+        # Examples with the same heaviest term lie side by side, so that few blocks reach far.
+        heaviest = np.zeros(len(ids), dtype=np.int64)
+        order = np.lexsort((weight, example))
+        heaviest[example[order]] = term[order]
+        placed = np.lexsort((ids, heaviest))
+        self.ids, self.labels = ids[placed], labels[placed]
+        place = np.empty(len(ids), dtype=np.int64)
+        place[placed] = np.arange(len(ids))
+        example = place[example]
+        order = np.lexsort((example, term))
+        term, example, weight = term[order], example[order], weight[order]
+        # Fewer rows than OFTEN times the terms of a mean example.
+        often = np.flatnonzero(total * OFTEN > len(ids))
+        self.row = np.full(len(terms), -1, dtype=np.int32)
+        self.row[often] = np.arange(len(often))
+        self.rows = np.zeros((len(often), len(ids)))
+        held = self.row[term] >= 0
+        self.rows[self.row[term[held]], example[held]] = weight[held]
+        term, example, weight = term[~held], example[~held], weight[~held]
+        self.example, self.weight = example.astype(np.int32), weight
+        self.size, self.blocks = BLOCK, -(-len(ids) // BLOCK)
+        # A part is the postings of one term in one block.
+        key = term * max(1, self.blocks) + example // BLOCK
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        self.start = np.r_[first, len(key)].astype(np.int32)
+        self.block = (example[first] // BLOCK).astype(np.int32)
+        self.largest = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
+        self.parts = np.searchsorted(term[first], np.arange(len(terms) + 1)).astype(np.int32)
+
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and weights of a document's known terms, of length one."""
+        at = np.fromiter(map(self.terms.get, counts, repeat(-1)), np.int64, len(counts))
+        n = np.fromiter(counts.values(), np.float64, len(counts))[at >= 0]
+        at = at[at >= 0]
+        if not len(at):
+            return at, n
+        weights = (1 + np.log(n)) * self.idf[at]
+        return at, weights / math.sqrt((weights * weights).sum())
+
+    def nearest_of(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each vector, cosines and places of the k nearest with a cosine above 0, ties to the smaller id.
+
+        ``but`` are ids that are left out, one for each vector.
+        """
+        for start in range(0, len(vectors), BATCH):
+            some = vectors[start : start + BATCH]
+            often = np.zeros((len(some), len(self.rows)))
+            for i, (at, weights) in enumerate(some):
+                row = self.row[at]
+                often[i, row[row >= 0]] = weights[row >= 0]
+            cosines = often @ self.rows
+            for i, (at, weights) in enumerate(some):
+                rare = self.row[at] < 0
+                yield self._nearest(at[rare], weights[rare], cosines[i], k, but[start + i] if but else None)
+
+    def _nearest(self, at: np.ndarray, weights: np.ndarray, cosines: np.ndarray, k: int, but: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest, with the cosines as far as the full rows go."""
+        if not len(cosines):
+            return cosines, np.zeros(0, np.int64)
+        out = self.ids == but if but is not None else None
+        reach = np.maximum.reduceat(cosines, np.arange(0, len(cosines), self.size))
+        parts, of = _ranges(self.parts[at], self.parts[at + 1])
+        heavy = weights[of]
+        block = self.block[parts]
+        reach = reach + np.bincount(block, heavy * self.largest[parts], minlength=self.blocks)
+        looked = np.zeros(self.blocks, dtype=bool)
+        looked[np.argsort(-reach, kind="stable")[:FIRST]] = True
+        whole = cosines + self._cosines(parts, heavy, looked[block])
+        if out is not None:
+            whole[out] = 0.0
+        least = np.partition(whole, -k)[-k] if len(whole) > k else 0.0
+        # A sum in another order may differ in its last digits.
+        more = (reach > 0) & (reach >= least - 1e-9) & ~looked
+        if more.any():
+            whole += self._cosines(parts, heavy, more[block])
+            if out is not None:
+                whole[out] = 0.0
+        whole = np.round(np.minimum(whole, 1.0), 12)
+        found = np.flatnonzero(whole > 0)
+        if len(found) > k:
+            found = found[whole[found] >= np.partition(whole[found], -k)[-k]]
+        found = found[np.lexsort((self.ids[found], -whole[found]))][:k]
+        return whole[found], found
+
+    def _cosines(self, parts: np.ndarray, heavy: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """What the chosen parts add to the cosines of all examples."""
+        some = parts[chosen]
+        postings, of = _ranges(self.start[some], self.start[some + 1])
+        return np.bincount(self.example[postings], heavy[chosen][of] * self.weight[postings], minlength=len(self.ids))
+
+    def vote(self, cosines: np.ndarray, found: np.ndarray) -> float:
+        closeness = 1 / (1.05 - cosines)
+        return float((closeness * self.labels[found]).sum() / closeness.sum())
+
+    def calibrate(self, votes: np.ndarray, labels: np.ndarray) -> None:
         """Monotone steps through (vote, label) by pooling neighbours that are out of order."""
-        self.none = none
         order = np.argsort(votes, kind="stable")
         pools: list[list[float]] = []
         for vote, label in zip(votes[order], labels[order]):
@@ -143,77 +219,72 @@ class Index:
         self.steps = np.array([p[0] for p in pools])
         self.values = np.array([(p[1] + 0.5) / (p[2] + 1) for p in pools])
 
-    def score(self, counts: dict[str, int], k: int) -> tuple[float, list[tuple[float, int]]]:
-        if not counts or not len(self.ids):
-            return self.none, []
-        near = self.nearest(*self.weights(counts), k)
-        if not near:
-            return self.none, []
-        return float(np.interp(self.vote(near), self.steps, self.values)), near
+    def scores(self, texts: list[str], k: int) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """For each text the calibrated score, and cosines and places of the neighbours that it rests on."""
+        for cosines, found in self.nearest_of([self.vector(term_counts(t)) for t in texts], k):
+            if not len(found) or not 0 < self.rate < 1:
+                yield self.rate, cosines, found
+            else:
+                yield float(np.interp(self.vote(cosines, found), self.steps, self.values)), cosines, found
+
+
+def _ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one after the other, and which range each is of."""
+    sizes = (stop - start).astype(np.int64)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    before = np.cumsum(sizes) - sizes
+    return np.arange(len(of)) + (start - before)[of], of
 
 
 def learn(examples: DataFrame, neighbours: int = NEIGHBOURS) -> Index:
-    """The index of (doc_id, text, label) examples.
+    """The index of (doc_id, text, label) examples, all of them and all their terms.
 
-    Without examples of both labels the vocabulary is empty and every score is the share
-    of toxic examples, 0 without any.
+    Without examples of both labels every score is the share of toxic ones, 0 without any.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                counts = term_counts(batch.column(1)[row].as_py())
-                n = len(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([batch.column(0)[row].as_py()] * n, pa.int64()),
-                        pa.array([batch.column(2)[row].as_py()] * n, pa.int32()),
-                        pa.array(list(counts), pa.string()),
-                        pa.array(list(counts.values()), pa.int64()),
-                    ],
-                    ["doc_id", "label", "word", "n"],
-                )
-
-    total = examples.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
-    rate = (total.toxic or 0) / max(1, total.n)
-    empty = Index({}, np.zeros(0), np.zeros(0, np.int64), np.zeros(0))
-    empty.none = rate
-    if rate in (0.0, 1.0):
-        return empty
-    counted = landed(examples.mapInArrow(count, "doc_id long, label int, word string, n long"))
-    words = counted.groupBy("word").agg(F.count("*").alias("total"), F.sum("label").alias("toxic"))
-    size = words.count()
-    # A word in fewer than three toxic examples cannot pass.
-    some = words.filter(f"toxic >= 3 and toxic > total * {rate}").orderBy("word").toPandas()
-    if not len(some):
-        return empty
-    odds = chance(some.toxic.to_numpy(float), some.total.to_numpy(float), rate)
-    kept = some[odds * size < CHANCE].assign(odds=odds[odds * size < CHANCE])
-    kept = kept.sort_values(["odds", "word"], kind="stable").head(VOCABULARY).reset_index(drop=True)
-    terms = {word: i for i, word in enumerate(kept.word)}
-    idf = np.log(1 + total.n / kept.total.to_numpy(float))
-    chosen = examples.sparkSession.createDataFrame([(w,) for w in terms], "word string")
-    found: dict[int, dict[str, int]] = {}
-    labels_of: dict[int, int] = {}
-    for row in counted.join(F.broadcast(chosen), "word").orderBy("doc_id", "word").toLocalIterator():
-        found.setdefault(row.doc_id, {})[row.word] = row.n
-        labels_of[row.doc_id] = row.label
-    ids = np.array(sorted(found), dtype=np.int64)
-    labels = np.array([labels_of[i] for i in ids], dtype=np.float64)
-    index = Index(terms, idf, ids, labels)
-    vectors = [index.weights(found[i]) for i in ids]
-    index.fill([(row, *vector) for row, vector in enumerate(vectors)])
-    without = max(1, total.n - len(ids))
-    none = max(0.0, total.toxic - labels.sum()) / without
-    votes, truth = [], []
-    for row, vector in enumerate(vectors):
-        near = index.nearest(*vector, neighbours, but=row)
-        if near:
-            votes.append(index.vote(near))
-            truth.append(labels[row])
-    if not votes:
-        return empty
-    index.calibrate(np.array(votes), np.array(truth), float(none))
+            counts = [term_counts(text.as_py()) for text in batch.column(1)]
+            terms = pa.array([list(c) for c in counts], pa.list_(pa.string()))
+            times = pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), terms, times], ["doc_id", "label", "terms", "counts"])
+
+    rows = examples.select("doc_id", "text", "label")
+    counted = rows.mapInArrow(count, "doc_id long, label int, terms array<string>, counts array<int>").toArrow()
+    counted = counted.sort_by("doc_id").combine_chunks()
+    ids, labels = counted["doc_id"].to_numpy(), counted["label"].to_numpy().astype(np.float64)
+    lists = counted["terms"].combine_chunks()
+    sizes = np.asarray(lists.value_lengths()) if len(ids) else np.zeros(0, np.int64)
+    encoded = lists.flatten().dictionary_encode()
+    names = np.array(encoded.dictionary.to_pylist(), dtype=object)
+    # Numbers by name: the same examples give the same index.
+    order = np.argsort(names, kind="stable") if len(names) else np.zeros(0, np.int64)
+    number = np.empty(len(names), dtype=np.int64)
+    number[order] = np.arange(len(names))
+    term = number[encoded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
+    times = counted["counts"].combine_chunks().flatten().to_numpy().astype(np.float64)
+    index = Index(names[order].tolist(), term, np.repeat(np.arange(len(ids)), sizes), times, ids, labels)
+    if not 0 < index.rate < 1:
+        return index
+    shared = examples.sparkSession.sparkContext.broadcast(index)
+
+    def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learnt = shared.value
+        for batch in batches:
+            votes, own = [], []
+            vectors = [learnt.vector(term_counts(text.as_py())) for text in batch.column(1)]
+            each = learnt.nearest_of(vectors, neighbours, batch.column(0).to_pylist())
+            for (cosines, found), label in zip(each, batch.column(2).to_pylist()):
+                if len(found):
+                    votes.append(learnt.vote(cosines, found))
+                    own.append(float(label))
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(own, pa.float64())], ["vote", "label"])
+
+    votes = rows.mapInArrow(cast, "vote double, label double").orderBy("vote", "label").toArrow()
+    if votes.num_rows:
+        index.calibrate(votes["vote"].to_numpy(), votes["label"].to_numpy())
+    else:
+        index.values = np.array([index.rate])
     return index
 
 
@@ -221,8 +292,8 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS, threshold
     """All columns of ``docs`` but clashing ones, then score, predicted and evidence.
 
     ``evidence`` lists the nearest examples: doc_id, cosine and label.  A text that is
-    null, empty or without a word of the vocabulary gets the share of toxic examples
-    among those without one, and no evidence.
+    null, empty or without a term of any example gets the share of toxic examples, and no
+    evidence.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
     docs = docs.drop("score", "predicted", "evidence")
@@ -233,13 +304,15 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS, threshold
         learnt = shared.value
         for batch in batches:
             scores, near = [], []
-            for text in batch.column(at):
-                got, found = learnt.score(term_counts(text.as_py() or "", learnt.terms), neighbours)
+            texts = batch.column(at)
+            # Texts are taken out of the batch a few at a time.
+            parts = (texts.slice(i, BATCH).to_pylist() for i in range(0, len(texts), BATCH))
+            for got, cosines, found in (one for part in parts for one in learnt.scores([t or "" for t in part], neighbours)):
                 scores.append(got)
                 near.append(
                     [
-                        {"doc_id": int(learnt.ids[r]), "cosine": c, "label": int(learnt.labels[r])}
-                        for c, r in found
+                        {"doc_id": int(learnt.ids[r]), "cosine": float(c), "label": int(learnt.labels[r])}
+                        for c, r in zip(cosines, found)
                     ]
                 )
             yield pa.RecordBatch.from_arrays(
@@ -263,7 +336,7 @@ def score(docs: DataFrame, index: Index, neighbours: int = NEIGHBOURS, threshold
 
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
     learnable = ~labelled.held_out(MODULUS, REMAINDER)
-    return learn(labelled.sample(docs, labels, "toxic", learnable, sample))
+    return learn(labelled.sample(docs, labels, "toxic", learnable, sample, CHARACTERS))
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
