@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeflow.llm import partitions
-from gradeflow.llm.common import landed
+from gradeflow.llm.common import in_share, landed
 from gradeflow.llm.vectors import (
     BLOCK,
     QUERY_BLOCK,
@@ -61,11 +61,8 @@ class Routes:
 
 
 def fitted(rows: DataFrame, sample: int, parts: int, k: int, recall: float) -> Routes:
-    steps = 1 << 20
-    share = min(1.0, sample / max(1, rows.count()))
-    place = F.xxhash64("vec_id", "vec")
     # Equal vectors teach nothing new: each counts once.
-    chosen = rows.filter(F.pmod(place, F.lit(steps)) < int(steps * share)).groupBy("vec").agg(F.min("vec_id").alias("vec_id"))
+    chosen = rows.filter(in_share(sample / max(1, rows.count()), "vec_id", "vec")).groupBy("vec").agg(F.min("vec_id").alias("vec_id"))
     table = chosen.orderBy(F.xxhash64("vec"), "vec_id").toArrow().combine_chunks()
     structs = pa.StructArray.from_arrays([table.column("vec").combine_chunks()], ["vec"])
     return Routes(matrix(structs, "vec"), parts, k, recall)

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeflow.llm.common import landed
+from gradeflow.llm.common import in_share, landed
 
 #: (verdict, rule); a rule is a host and the beginning of a path.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -117,10 +117,8 @@ def judge(
     rows = rows.withColumns({"rule": rule_column(rules, 1), "ruled": rule_column(rules, 0)})
     label = (F.col("ruled") == "block").cast("double").alias("label")
     labelled = rows.filter(F.col("rule").isNotNull()).select("url", "host", "path", label)
-    ranges = 1 << 20
-    share = min(1.0, sample / max(1, labelled.count()))
     # Equal URLs have equal features and labels: each counts once.
-    chosen = labelled.filter(F.pmod(F.xxhash64("url"), F.lit(ranges)) < int(ranges * share))
+    chosen = labelled.filter(in_share(sample / max(1, labelled.count()), "url"))
     train = landed(with_features(chosen.distinct().coalesce(1)))
     total = train.agg(F.count("*").alias("n"), F.sum("label").alias("blocked")).first()
     if not total.n or total.blocked in (0, total.n):

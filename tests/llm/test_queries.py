@@ -20,7 +20,7 @@ SHAPES = {
     "op2_line_quality": ({"doc_id", "held_out", "score", "predicted"}, "documents"),
     "op3_minhash_near_dedup": ({"doc_id", "n_shingles", "component_id", "kept"}, "documents"),
     "op4_exact_top_k": ({"query_id", "rank", "vec_id", "score"}, None),
-    "op5_toxicity": ({"doc_id", "held_out", "score", "predicted"}, "documents"),
+    "op5_toxicity": ({"doc_id", "held_out", "score", "predicted", "evidence"}, "documents"),
     "op6_url_filter": ({"page_id", "host", "path", "rule", "verdict", "score"}, "pages"),
     "op7_word_bpe": ({"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}, "documents"),
     "op8_token_counts": ({"doc_id", "n_bytes", "n_tokens", "over_limit"}, "documents"),

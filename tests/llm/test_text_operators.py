@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -108,18 +110,33 @@ def test_counts_decide_on_every_subtree(spark):
     rows = [(i, f"http://a.org/{i}", text) for i, text in enumerate(html)]
     rows += [(100 + i, f"http://b.org/{i}", text) for i, text in enumerate(html[:3])]
     got = {r.page_id: r.text for r in html_extraction.extract(pages(spark, rows)).collect()}
-    rest = "Read more on our site.\n\nShare this\n\nloose"
-    wanted = {i: f"T {i}\n\nown {i}" for i in range(30)}
-    assert got == wanted | {100 + i: f"{wanted[i]}\n\n{rest}" for i in range(3)}
+    # Inside an article a list or a division goes, its own headings and paragraphs stay.
+    wanted = {i: f"T {i}\n\nown {i}\n\nRead more on our site." for i in range(30)}
+    assert got == wanted | {100 + i: f"{wanted[i]}\n\nShare this\n\nloose" for i in range(3)}
     # What is marked as around the text is counted as well, alone and as a whole.
     found = html_extraction.templates(html_extraction.with_parts(pages(spark, rows[:30]).select("page_id", "url", "html")))
     hashes = {h for r in found.collect() for h in r.templates}
     page = markup.parse(html[0], "a.org")
-    kept = {i for t in page.subtrees if t.hash not in hashes for i in range(t.start, t.stop) if t.stop == t.start + 1}
-    assert {page.blocks[i] for i in kept} == {"T 0", "own 0"}
+    inner = [i for i, level in enumerate(page.within) if level == 2]
+    assert {page.blocks[i] for i in inner} == {"T 0", "own 0", "Read more on our site.", "Share this", "loose"}
+    alone = {page.blocks[t.start] for t in page.subtrees if t.stop == t.start + 1 and t.hash in hashes}
+    assert alone == {"Home", "News", "Buy", "Loose words", "Share this", "loose"}
     assert any(t.hash in hashes and t.stop - t.start == 2 and page.blocks[t.start] == "Home" for t in page.subtrees)
 
 
+def test_articles_keep_recurring_headings_and_paragraphs_as_the_host_grows(spark):
+    def page(i):
+        return f"<article><h1>Weekly</h1><p>own {i}</p><section><h2>Notes</h2><p>note {i}</p></section><p>As ever.</p></article>"
+
+    def texts(count):
+        rows = [(i, f"http://a.org/{i}", page(i)) for i in range(count)]
+        return {r.page_id: r.text for r in html_extraction.extract(pages(spark, rows)).collect()}
+
+    small, large = texts(20), texts(40)
+    assert small == {i: f"Weekly\n\nown {i}\n\nNotes\n\nnote {i}\n\nAs ever." for i in range(20)}
+    assert all(large[i] == text for i, text in small.items())
+
+
 def test_templates_do_not_depend_on_host_size(spark):
     box = "<div><p>Side box</p></div>"
     # On the large host the box is on one page in 50, and the foot is hot.
@@ -203,22 +220,80 @@ def test_classifiers_without_examples(spark, operator):
     assert {r.score for r in got} == {1.0}
 
 
-def test_nearest_examples_equal_all_cosines():
-    chance = np.random.default_rng(2)
-    terms = {f"t{i}": i for i in range(40)}
-    counts = [{f"t{i}": int(chance.integers(1, 5)) for i in chance.choice(40, chance.integers(1, 7), False)} for _ in range(700)]
-    index = toxicity.Index(terms, chance.uniform(0.5, 3, 40), np.arange(700), chance.integers(0, 2, 700).astype(float))
-    vectors = [index.weights(c) for c in counts]
-    index.fill([(row, *v) for row, v in enumerate(vectors)])
-    dense = np.zeros((700, 40))
-    for row, (at, weights) in enumerate(vectors):
-        dense[row, at] = weights
-    for row in range(0, 700, 9):
-        cosines = np.round(np.minimum(1, dense @ dense[row]), 12)
-        best = sorted(((c, i) for i, c in enumerate(cosines) if c > 0 and i != row), key=lambda x: (-x[0], x[1]))[:15]
-        got = index.nearest(*vectors[row], 15, but=row)
-        assert np.allclose([c for c, _ in got], [c for c, _ in best], atol=1e-9)
-        assert {i for c, i in got if c > best[-1][0] + 1e-9} == {i for c, i in best if c > best[-1][0] + 1e-9}
+def plain_terms(text):
+    """Words, and how many longer ones begin with the same four letters, in doublings."""
+    out = {}
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        out[word] = out.get(word, 0) + 1
+    begun = {}
+    for word, n in out.items():
+        if len(word) > 4:
+            begun[word[:4]] = begun.get(word[:4], 0) + n
+    for prefix, n in begun.items():
+        for power in range(20):
+            if 2**power <= n:
+                out[f"{prefix}*{2**power if power else ''}"] = 1
+    return out
+
+
+def plain_neighbours(examples, text, k=15):
+    """(-cosine, doc_id) over all terms of all examples, with the weights written out."""
+    n, toxic = len(examples), sum(label for *_, label in examples)
+    counts = {i: plain_terms(t) for i, t, _ in examples}
+    df, tdf = {}, {}
+    for i, _, label in examples:
+        for term in counts[i]:
+            df[term] = df.get(term, 0) + 1
+            tdf[term] = tdf.get(term, 0) + label
+    rate = toxic / n
+
+    def weight(term):
+        p, more = tdf[term] / df[term], 0.0
+        if p > rate:
+            more = df[term] * (p * math.log(p / rate) + ((1 - p) * math.log((1 - p) / (1 - rate)) if p < 1 else 0))
+        return math.log(1 + n / df[term]) * (1 + max(0.0, more - math.log(len(df))))
+
+    def vector(c):
+        v = {t: (1 + math.log(m)) * weight(t) for t, m in c.items() if t in df}
+        norm = math.sqrt(sum(x * x for x in v.values())) or 1
+        return {t: x / norm for t, x in v.items()}
+
+    asked = vector(plain_terms(text))
+    near = []
+    for i, _, _ in examples:
+        own = vector(counts[i])
+        near.append((-round(sum(x * own.get(t, 0) for t, x in asked.items()), 9), i))
+    return sorted(x for x in near if x[0] < 0)[:k]
+
+
+def test_neighbours_equal_all_cosines_over_all_words(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    monkeypatch.setattr(toxicity, "OFTEN", 5)
+    chance = random.Random(4)
+    word = lambda: "".join(chance.choices("abcdé", k=chance.randint(1, 7)))
+    stock = [word() for _ in range(150)]
+    insults = ["rotter", "rottene", "rottish"]
+    examples = []
+    for i in range(240):
+        text = chance.choices(stock, k=chance.randint(0, 40)) + [word() for _ in range(3)]
+        toxic = int(chance.random() < 0.2)
+        if toxic and chance.random() < 0.8:
+            text[1:1] = chance.choices(insults, k=chance.randint(1, 4))
+        examples.append((i, " ".join(text), toxic))
+    rows = spark.createDataFrame(examples, "doc_id long, text string, label int").repartition(3)
+    index = toxicity.learn(rows)
+    asked = [t for _, t, _ in examples[::8]] + ["rotters Rotting", "nothing known here 12", "", stock[0]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "doc_id long, text string")
+    got = {r.doc_id: r.evidence for r in toxicity.score(docs, index).collect()}
+    for i, text in enumerate(asked):
+        want = plain_neighbours(examples, text)
+        assert [-round(e.cosine, 9) for e in got[i]] == pytest.approx([c for c, _ in want], abs=2e-9)
+        last = want[-1][0] if want else 0
+        assert {e.doc_id for e in got[i] if -e.cosine < last - 1e-8} == {d for c, d in want if c < last - 1e-8}
+    # No word is left out: toxic examples without an insult are found by their other words.
+    plain = [i for i, t, toxic in examples[::8] if toxic and not any(w in t for w in insults)]
+    assert plain and all(got[i // 8][0].doc_id == i for i in plain)
+    assert got[len(asked) - 3] == [] and got[len(asked) - 2] == []
 
 
 def test_marginals_equal_all_labellings():
