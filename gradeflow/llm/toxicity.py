@@ -280,7 +280,7 @@ def learn(examples: DataFrame, neighbours: int = NEIGHBOURS) -> Index:
                     own.append(float(label))
             yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(own, pa.float64())], ["vote", "label"])
 
-    votes = rows.mapInArrow(cast, "vote double, label double").orderBy("vote", "label").toArrow()
+    votes = rows.mapInArrow(cast, "vote double, label double").toArrow()
     if votes.num_rows:
         index.calibrate(votes["vote"].to_numpy(), votes["label"].to_numpy())
     else:
