@@ -3,7 +3,9 @@
 The first record of a table is row 2 (row 1 is the header).  A record's number is
 its position within its split plus the number of records in the splits before it.
 Only the split totals are ordered: one row per input split, a list the driver
-already holds to plan the scan, so it is small next to the data.
+already holds to plan the scan, so it is small next to the data.  The totals are
+broadcast where their size, known before, is within the limit; otherwise the rows
+are shuffled in parts of much the same size.
 """
 
 from __future__ import annotations
@@ -13,10 +15,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradeflow.contract import ROW
-from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size
+from gradeflow.operators.lookup import DEFAULT_LIMITS, ROW_BYTES, Limits, Size
 
 FIRST_ROW = 2
 SPLIT = ("_file", "_block")
+# Rows of a file that are shuffled together when the list of files is too long to broadcast.
+PART = 1 << 20
 
 
 def tag_splits(df: DataFrame) -> DataFrame:
@@ -65,11 +69,14 @@ def number_tagged(
     return numbered.select(*columns, (F.col("_scan") + F.col("_shift") + FIRST_ROW).alias(ROW))
 
 
-def number_parquet(df: DataFrame) -> DataFrame:
+def number_parquet(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Row numbers of a Parquet scan, from the row index each file carries.
 
     Files follow each other by path.  Only the list of files is ordered, one row
-    each, which is shorter than what the driver holds to plan the scan.
+    each, which is shorter than what the driver holds to plan the scan.  Counting a
+    file's rows takes its footer alone, and the driver knows how long the paths are
+    without a job.  Over the limit the rows are shuffled in parts of ``PART`` rows of a
+    file, so that a large file is not left to one task.
     """
     columns = df.columns
     located = df.select(
@@ -80,9 +87,21 @@ def number_parquet(df: DataFrame) -> DataFrame:
     files = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_records"))
     before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
     offsets = files.select(
-        "_file", F.coalesce(F.sum("_records").over(before), F.lit(0)).alias("_files_before")
+        "_file", "_records", F.coalesce(F.sum("_records").over(before), F.lit(0)).alias("_files_before")
     )
-    numbered = located.join(offsets, "_file")
+    if limits.broadcasts(files_size(df)):
+        numbered = located.join(F.broadcast(offsets.drop("_records")), "_file")
+    else:
+        parts = F.explode(F.sequence(F.lit(0), F.floor((F.col("_records") - 1) / PART))).alias("_part")
+        offsets = offsets.select("_file", "_files_before", parts)
+        located = located.withColumn("_part", F.floor(F.col("_position") / PART))
+        numbered = located.join(offsets, ["_file", "_part"])
     return numbered.select(
         *columns, (F.col("_files_before") + F.col("_position") + FIRST_ROW).alias(ROW)
     )
+
+
+def files_size(df: DataFrame) -> Size:
+    """Size of one row per file of a scan: its path and a number."""
+    paths = [len(path.encode()) for path in df.inputFiles()]
+    return Size(len(paths), sum(paths) + len(paths) * ROW_BYTES, max(paths, default=0))

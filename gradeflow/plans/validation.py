@@ -30,8 +30,7 @@ from gradeflow.functions.rules import (
 )
 from gradeflow.operators.duplicates import mark_duplicates, repeated_keys
 from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size, attach, hot_keys
-from gradeflow.sources.bronze import profile
-from gradeflow.sources.workspace import Workspace, measure, side_by_side
+from gradeflow.sources.workspace import Workspace, side_by_side
 
 Violations = list[tuple[str, str]]
 
@@ -232,8 +231,8 @@ def validate(
 ) -> Validation:
     """Check ``tables`` of a batch, parents first.
 
-    ``sizes`` are the measured table sizes (see ``profile``); those not given are taken
-    from the table once it is written.  ``limits`` say what may be broadcast.  Tables
+    ``sizes`` are the measured table sizes (see ``profile``); those not given are observed
+    while the table is written.  ``limits`` say what may be broadcast.  Tables
     are written to ``workspace``, or to one of their own.
     """
     bronze = {name: bronze[name] for name in CONTRACTS if name in tables}
@@ -244,11 +243,11 @@ def validate(
     def check(name: str) -> None:
         table = contract(name)
         flagged = flag(bronze[name], table, rules[name], result.silver, sizes, strict_dates, limits)
-        flagged = workspace.land(f"flagged/{name}", flagged)
-        repeated = workspace.land(f"repeated/{name}", repeated_keys(flagged, table))
-        if name not in sizes:
-            sizes.update(profile({name: flagged}))
-        rows, size = sizes[name].rows, measure(repeated)
+        flagged, own = workspace.land_sized(f"flagged/{name}", flagged, table.columns)
+        repeated, size = workspace.land_sized(f"repeated/{name}", repeated_keys(flagged, table))
+        # Facts are never broadcast, so only their rows are of use.
+        sizes.setdefault(name, own if name in MASTERS else Size(own.rows, None))
+        rows = sizes[name].rows
         checked = mark_duplicates(flagged, table, rows, repeated, size, limits)
         # Written unless marking again is as cheap as reading: a broadcast lookup.
         if name in MASTERS or not limits.broadcasts(size):

@@ -16,7 +16,7 @@ from gradeflow.operators.numbering import (
     split_offsets,
     tag_splits,
 )
-from gradeflow.sources.workspace import Workspace, measure, side_by_side, text_size, to_size
+from gradeflow.sources.workspace import Workspace, side_by_side, text_size, to_size
 
 
 def cell(sql: str, column: str) -> str:
@@ -64,17 +64,17 @@ def read_csv(
     )
     raw = _existing(table, folder, lambda: reader.csv(f"{folder.rstrip('/')}/{name}.csv"))
     landed = workspace.land(f"bronze/{name}", normalise(tag_splits(raw), table))
-    offsets = workspace.land(f"offsets/{name}", split_offsets(landed))
-    return number_tagged(landed, offsets, measure(offsets), limits)
+    offsets, size = workspace.land_sized(f"offsets/{name}", split_offsets(landed))
+    return number_tagged(landed, offsets, size, limits)
 
 
-def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def read_parquet(spark: SparkSession, folder: str, name: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Read ``<folder>/<name>.parquet`` whose columns are cast to text."""
     table = contract(name)
     raw = _existing(
         table, folder, lambda: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     )
-    numbered = number_parquet(raw)
+    numbered = number_parquet(raw, limits)
     cells = [cell(f"cast({c} as string)", c) for c in table.columns]
     return numbered.selectExpr(*cells, ROW)
 
@@ -89,7 +89,7 @@ def read_bronze(
 ) -> dict[str, DataFrame]:
     """All five tables of a batch; a missing one is an error that names it."""
     if fmt == "parquet":
-        return {name: read_parquet(spark, folder, name) for name in CONTRACTS}
+        return {name: read_parquet(spark, folder, name, limits) for name in CONTRACTS}
     if fmt != "csv":
         raise ValueError(f"unknown input format {fmt!r}")
     workspace = workspace or Workspace(spark)

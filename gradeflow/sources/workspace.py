@@ -10,12 +10,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gradeflow.operators.lookup import Size
@@ -41,20 +42,28 @@ def literal_frame(spark: SparkSession, names: list[str], rows: list[tuple]) -> D
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
-class Workspace:
-    """A fresh subfolder of the session's checkpoint folder.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which checkpoints go to from now on as well.
 
     Only a local session, which has no other machines, may leave the setting out.
     """
+    context = spark.sparkContext
+    root = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local["):
+            raise ValueError(f"set {SETTING} to a folder every executor can reach")
+        root = tempfile.mkdtemp(prefix="gradeflow-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
+    return root
+
+
+class Workspace:
+    """A fresh subfolder of the session's checkpoint folder."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        root = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-        if not root:
-            if not spark.sparkContext.master.startswith("local["):
-                raise ValueError(f"set {SETTING} to a folder every executor can reach")
-            root = tempfile.mkdtemp(prefix="gradeflow-")
-            spark.sparkContext.setCheckpointDir(root)
+        root = checkpoint_root(spark)
         self.folder = f"{root.rstrip('/')}/gradeflow-{uuid.uuid4().hex}"
         atexit.register(self.remove)
 
@@ -73,6 +82,18 @@ class Workspace:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def land_sized(self, name: str, df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, Size]:
+        """Write a frame and read it back; and the size of ``columns``, all by default, as it was written.
+
+        The size is observed by the writing tasks, so it takes no job of its own.  Spark
+        adds up what a task saw when it first ends well, so a task or a stage that runs
+        again counts once.  A frame that Spark knows to be empty has no such tasks.
+        """
+        seen = Observation()
+        landed = self.land(name, df.observe(seen, *text_size(df, columns)))
+        found = seen.get
+        return landed, to_size(found) if "filas" in found else Size(0, 0)
+
 
 def hadoop_path(spark: SparkSession, path: str):
     """A path qualified by its file system, and that file system."""
@@ -82,14 +103,45 @@ def hadoop_path(spark: SparkSession, path: str):
     return system.makeQualified(path), system
 
 
-def text_size(df: DataFrame) -> list[Column]:
-    """Aggregates that bound the memory of a frame: rows, bytes, widest row.
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file unless it is there; whether it was made.
+
+    The file system decides who is first, so of several drivers one succeeds: HDFS and
+    stores with conditional writes create a file once, and so does the kernel for a local
+    or mounted folder, where Hadoop itself only looks beforehand.
+    """
+    path, system = hadoop_path(spark, path)
+    if path.toUri().getScheme() == "file":
+        system.mkdirs(path.getParent())
+        try:
+            with open(path.toUri().getPath(), "x", encoding="utf-8") as out:
+                out.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        stream = system.create(path, False)
+    except Py4JJavaError:
+        # Some file systems report an existing file as a plain I/O error.
+        if system.exists(path):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def text_size(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
+    """Aggregates that bound the memory of a frame's ``columns``: rows, bytes, widest row.
 
     Text counts by its length, every cell by a word and every row by a header, as
     in Spark's binary rows.
     """
-    texts = [f"coalesce(octet_length(cast({c} as string)), 0)" for c in df.columns]
-    row_bytes = f"bigint({8 * (len(df.columns) + 2)}) + " + " + ".join(texts)
+    columns = df.columns if columns is None else columns
+    texts = [f"coalesce(octet_length(cast({c} as string)), 0)" for c in columns]
+    row_bytes = f"bigint({8 * (len(columns) + 2)}) + " + " + ".join(texts)
     return [
         F.expr("count(1) as filas"),
         F.expr(f"coalesce(sum({row_bytes}), 0) as bytes"),
@@ -97,7 +149,7 @@ def text_size(df: DataFrame) -> list[Column]:
     ]
 
 
-def to_size(row: Row) -> Size:
+def to_size(row: Row | dict[str, int]) -> Size:
     return Size(row["filas"], row["bytes"], row["mayor"] or 0)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS
 from gradeflow.operators.duplicates import mark_duplicates, repeated_keys
-from gradeflow.operators.enrol import enrol
+from gradeflow.operators.enrol import enrol, large_terms
 from gradeflow.operators.lookup import Limits, Size, attach, hot_keys, hot_threshold
 from gradeflow.operators.merit import add_merit
 from gradeflow.sources.workspace import measure
@@ -125,6 +125,16 @@ def test_enrolments_of_a_large_catalogue(spark):
     assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
 
 
+def test_large_terms_alone_are_dealt_into_parts(spark):
+    students = spark.range(900).selectExpr("concat('E', id) as e", "if(id % 3 = 0, 'S0', concat('S', id % 90)) as s")
+    catalogue = spark.range(200).selectExpr("concat('C', id) as c", "concat('S', id % 100) as s")
+    small = enrol(students, catalogue, "s", "e", Size(30, 100))
+    large = enrol(students, catalogue, "s", "e", Size(30, 10**12), part=50)
+    assert small.columns == large.columns
+    assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
+    assert [tuple(r) for r in large_terms(students, "s", 50).collect()] == [("S0", 6)]
+
+
 @pytest.mark.parametrize("groups", [Size(3, 300, 100), Size(3, 10**12, 10**12), None])
 def test_merit_order_matches_brute_force(spark, groups):
     rng = random.Random(3)

@@ -8,6 +8,7 @@ import pytest
 from batches import frames, worked_example, write_csv
 
 from gradeflow.contract import CONTRACTS
+from gradeflow.operators import numbering
 from gradeflow.operators.lookup import Limits
 from gradeflow.operators.numbering import number_parquet
 from gradeflow.sources.bronze import (
@@ -19,7 +20,7 @@ from gradeflow.sources.bronze import (
     read_csv,
 )
 from gradeflow.sources.star_schema import derive
-from gradeflow.sources.workspace import Workspace
+from gradeflow.sources.workspace import Workspace, measure
 
 
 def notas_lines(start: int, count: int) -> str:
@@ -63,6 +64,34 @@ def test_parquet_rows_are_numbered_over_files(spark, tmp_path):
     assert df.filter("id <> fila").count() == 0 and df.count() == 2000
 
 
+@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_bytes=0)])
+def test_parquet_rows_are_never_gathered_by_file(spark, tmp_path, monkeypatch, limits):
+    monkeypatch.setattr(numbering, "PART", 300)
+    for name, start, count in (("a", 2, 1000), ("b", 1002, 0), ("c", 1002, 1), ("d", 1003, 900)):
+        spark.range(start, start + count, 1, 1).write.parquet(f"{tmp_path}/t/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        df = number_parquet(spark.read.parquet(*[f"{tmp_path}/t/{name}.parquet" for name in "abcd"]), limits)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert df.filter("id <> fila").count() == 0 and df.count() == 1901
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows of a file meet in one task on neither way; counting reads no column.
+    assert ("BroadcastHashJoin" in plan) == bool(limits.broadcast_bytes)
+    assert ("_part" in plan) == (not limits.broadcast_bytes)
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_sizes_are_observed_while_tables_are_written(spark):
+    workspace = Workspace(spark)
+    df = spark.range(0, 1000, 1, 7).selectExpr("cast(id as string) as a", "if(id % 3 = 0, null, repeat('ñ', int(id % 40))) as b")
+    for name, frame in (("all", df), ("none", df.filter("a = 'x'")), ("empty", df.limit(0)), ("sorted", df.orderBy("b"))):
+        landed, size = workspace.land_sized(name, frame)
+        assert size == measure(frame) == measure(landed)
+    assert workspace.land_sized("one", df, ["a"])[1] == measure(df.select("a"))
+    workspace.remove()
+
+
 def test_cells_are_normalised(spark, tmp_path):
     batch = worked_example()
     batch["cursos"] = [["  TBD ", 'Nombre "citado", con coma', "V", "   ", "6", "D"]]
