@@ -9,6 +9,8 @@ from batches import published, worked_example, write_csv
 
 from gradeflow import ALERTS, PERFORMANCE, current_run, read_silver, run_batch
 from gradeflow.operators.lookup import Limits
+from gradeflow.plans.batch import add_pointer
+from gradeflow.sources.workspace import create_once, side_by_side
 
 
 def test_performance_example(spark, tmp_path):
@@ -38,7 +40,7 @@ def test_performance_example(spark, tmp_path):
     course = published(spark, f"{result.folder}/gold", "cursos_resumen")[0]
     assert (course["aprobados"], course["pendientes"], course["inhabilitados"]) == ("1", "1", "1")
     assert course["promedio"] == "13.5" and course["tasa_aprobacion"] == "0.5"
-    summary = spark.read.json(f"{result.folder}/gold/resumen.json").first()
+    summary = spark.read.option("multiLine", True).json(f"{result.folder}/gold/resumen.json").first()
     assert (summary["estudiantes"], summary["matriculas"], summary["periodo"]) == (3, 3, "2026-II")
     assert summary["nota_aprobatoria"] == 13 and summary["maximo_inasistencia"] == 0.3
     assert current_run(spark, str(tmp_path / "out")) == result.folder
@@ -66,7 +68,7 @@ def test_alert_example(spark, tmp_path):
             "inasistencia_promedio": "0.25",
         }
     ]
-    summary = spark.read.json(f"{result.folder}/gold/resumen.json").first()
+    summary = spark.read.option("multiLine", True).json(f"{result.folder}/gold/resumen.json").first()
     assert (summary["matriculas"], summary["estudiantes_con_alerta"]) == (3, 2)
     assert summary["umbral_riesgo"] == 0.2
 
@@ -219,3 +221,20 @@ def test_missing_table_is_named(spark, tmp_path):
 def test_tolerance_is_checked(spark, tmp_path, tolerance):
     with pytest.raises(ValueError):
         run_batch(spark, str(tmp_path), str(tmp_path / "out"), ALERTS, tolerance)
+
+
+def test_published_runs_are_numbered_by_who_is_first(spark, tmp_path):
+    out = str(tmp_path / "out")
+    made = side_by_side({f"r{i}": lambda i=i: add_pointer(spark, out, f"r{i}") for i in range(6)})
+    assert sorted(made.values()) == [1, 2, 3, 4, 5, 6]
+    # The last number is current, whatever the clock of the driver that made it.
+    assert current_run(spark, out) == f"{out}/{max(made, key=made.get)}"
+    assert add_pointer(spark, out, "later") == 7 and current_run(spark, out).endswith("/later")
+
+
+def test_a_run_id_goes_to_one_of_several(spark, tmp_path):
+    path = str(tmp_path / "run" / "_run")
+    made = side_by_side({str(i): lambda: create_once(spark, path, "x") for i in range(6)})
+    assert sorted(made.values()) == [False] * 5 + [True]
+    with pytest.raises(FileExistsError, match="exists already"):
+        run_batch(spark, write_csv(worked_example(), tmp_path / "in"), str(tmp_path), ALERTS, run_id="run")
