@@ -194,7 +194,7 @@ def _csv_bronze(name: str) -> Query:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         workspace = Workspace(spark)
-        ranges = derive(spark, folder, name).repartitionByRange(8, ROW).sortWithinPartitions(ROW)
+        ranges = derive(spark, folder, name).repartitionByRange(ROW).sortWithinPartitions(ROW)
         write_csv(ranges.drop(ROW), f"{workspace.folder}/in/{name}")
         return read_csv(spark, f"{workspace.folder}/in", name, workspace)
 

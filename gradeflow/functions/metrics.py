@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Grades are at most 20 and weights at most 1: ten decimals keep what a grade
-# sheet holds, and the sum of their products still has 14 digits before the point.
+# Grades are at most 20 and weights at most 1.  Ten decimals keep what a grade sheet
+# holds; sixteen keep every weight that a double can add to 1.  The sum of their
+# products still has 12 digits before the point.
 GRADE = "decimal(12,10)"
-WEIGHT = "decimal(11,10)"
+WEIGHT = "decimal(17,16)"
 
 
 def tally(condition: Column) -> Column:

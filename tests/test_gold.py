@@ -5,6 +5,7 @@ from __future__ import annotations
 from batches import frames, worked_example
 
 from gradeflow import ALERTS, PERFORMANCE, GoldInputs, validate
+from gradeflow.plans.performance import grades_by_enrolment
 from gradeflow.plans.gold import Analytics, GoldTable, keys
 
 import pytest
@@ -95,6 +96,13 @@ def test_means_round_half_up_exactly(spark):
     assert gold(spark, batch, PERFORMANCE, "evaluaciones_resumen")[0]["promedio"] == 12.43
 
 
+def test_small_weights_count(spark):
+    shape = "estudiante_id string, curso_id string, periodo string, peso double, nota double"
+    grades = spark.createDataFrame([("E", "C", "P", 4e-11, 10.0), ("E", "C", "P", 1.0, 12.5)], shape)
+    row = grades_by_enrolment(grades).first()
+    assert float(row["peso_total"]) == 1 + 4e-11 and float(row["puntaje"]) == 12.5 + 4e-10
+
+
 def test_empty_summary_has_null_counts(spark):
     batch = worked_example()
     batch["asistencia"] = []
