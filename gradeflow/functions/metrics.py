@@ -8,7 +8,7 @@ grades and weights over decimals: the result is the same for every partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Grades are at most 20 and weights at most 1.  Ten decimals keep what a grade sheet
@@ -86,3 +86,12 @@ def pass_rate() -> Column:
     """Passed over all decided; null while nobody has passed or failed by grade."""
     decided = F.col("aprobados") + F.col("desaprobados")
     return F.when(decided > 0, ratio(F.col("aprobados"), decided + F.col("inhabilitados")))
+
+
+def distinct_count(df: DataFrame, column: str) -> Column:
+    """Different values of a column of ``df``, as one value to select.
+
+    Several distinct counts in one aggregate copy every row once for each of them.  This
+    reads the one column again instead, and repeats are dropped before the shuffle.
+    """
+    return df.select(column).distinct().agg(F.count(column)).scalar()

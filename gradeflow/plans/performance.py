@@ -11,6 +11,7 @@ from gradeflow.contract import APROBADO, DESAPROBADO, INHABILITADO, PENDIENTE, P
 from gradeflow.functions.metrics import (
     GRADE,
     WEIGHT,
+    distinct_count,
     exact_corr,
     exact_stddev,
     grade_mean,
@@ -326,8 +327,6 @@ def weekly_attendance(inputs: GoldInputs) -> DataFrame:
 def performance_summary(inputs: GoldInputs) -> DataFrame:
     """The whole batch in one row."""
     totals = inputs.primary.agg(
-        F.countDistinct("estudiante_id").alias("estudiantes"),
-        F.countDistinct("curso_id").alias("cursos"),
         F.count(F.lit(1)).alias("matriculas"),
         _in_condition(APROBADO).alias("aprobados"),
         _in_condition(DESAPROBADO).alias("desaprobados"),
@@ -340,6 +339,8 @@ def performance_summary(inputs: GoldInputs) -> DataFrame:
         F.min("periodo").alias("periodo"),
     )
     return totals.select(
+        distinct_count(inputs.primary, "estudiante_id").alias("estudiantes"),
+        distinct_count(inputs.primary, "curso_id").alias("cursos"),
         "*",
         pass_rate().alias("tasa_aprobacion"),
         F.lit(POLICY.passing_score).alias("nota_aprobatoria"),

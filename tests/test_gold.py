@@ -137,3 +137,14 @@ def test_own_analytics(spark):
         Analytics("mia", "", extra, (extra,), PERFORMANCE.summary)
     with pytest.raises(ValueError, match="no table"):
         PERFORMANCE.table("extra")
+
+
+def test_summaries_copy_no_row_per_distinct_count(spark):
+    batch = worked_example()
+    for analytics in (PERFORMANCE, ALERTS):
+        result = validate(frames(spark, batch))
+        inputs = GoldInputs(result.silver, result.sizes)
+        summary = analytics.summary(inputs.with_primary(analytics.primary.build(inputs)))
+        plan = summary._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan
+        assert summary.first()["estudiantes"] == 3
