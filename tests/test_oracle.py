@@ -10,8 +10,9 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import rows
-from gradeflow import PERFORMANCE, GoldInputs, validate
+from gradeflow import CONTRACTS, PERFORMANCE, GoldInputs, validate
 from gradeflow.operators.lookup import Limits
+from gradeflow.plans.quality import reason_counts
 from gradeflow.sources.star_schema import academic_batch
 
 FOLDER = "/root/testdata/sf0.001"
@@ -48,6 +49,22 @@ def test_query(spark, con, name):
     assert rows(df.columns, df.collect()) == values
 
 
+def test_every_rule_of_every_table_rejects(spark):
+    """And a rejected term takes its courses with it, a rejected course its grades."""
+    checked = validate(academic_batch(spark, FOLDER)).checked
+    fired = {(r["tabla"], r["motivo"]) for r in reason_counts(checked).filter("filas > 0").collect()}
+    lookups = {"cursos": 1, "estudiantes": 1, "notas": 4, "asistencia": 4}
+    assert len(fired) == 32 and {t for t, _ in fired} == set(CONTRACTS)
+    parents = ("SEMESTRE_", "ESTUDIANTE_", "CURSO_", "PERIODO_")
+    assert {t: sum(m.startswith(parents) for n, m in fired if n == t) for t in lookups} == lookups
+    course = checked["cursos"].filter("curso_id = 'C22'").first()
+    assert (course["semestre_id"], course["motivos"]) == ("S9", "SEMESTRE_INEXISTENTE")
+    term = checked["semestres"].filter("semestre_id = 'S9'").first()
+    assert term["motivos"] == "NUMERO_INVALIDO"
+    grades = checked["notas"].filter("curso_id = 'C22'")
+    assert grades.count() > 0 and grades.filter("motivos not like '%CURSO_INEXISTENTE%'").count() == 0
+
+
 def test_paths_of_large_tables(spark, con):
     """Nothing broadcast, nothing ranked in a window: the same tables."""
     limits = Limits(broadcast_bytes=-1)
