@@ -32,7 +32,7 @@ from gradeflow.plans.validation import (  # noqa: E402
     term_reference,
     validate,
 )
-from gradeflow.plans.batch import MANIFEST, current_run, run_batch  # noqa: E402
+from gradeflow.plans.batch import MANIFEST, current_run, rebuild, run_batch  # noqa: E402
 from gradeflow.sinks.publish import publish, write_csv  # noqa: E402
 from gradeflow.sources.bronze import limit_report, read_csv, table_profile  # noqa: E402
 from gradeflow.sources.star_schema import academic_batch, derive  # noqa: E402
@@ -184,7 +184,9 @@ def _gold(analytics: Analytics, name: str, *tables: str) -> Query:
 def _summary(analytics: Analytics, *tables: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         inputs = _inputs(spark, folder, *tables)
-        return analytics.summary(inputs.with_primary(analytics.primary.build(inputs)))
+        # Read several times, as in a run.
+        primary = Workspace(spark).land(analytics.primary.name, analytics.primary.build(inputs))
+        return analytics.summary(inputs.with_primary(primary))
 
     return run
 
@@ -255,6 +257,17 @@ def _gate_effect(spark: SparkSession, folder: str) -> DataFrame:
     return named.groupBy("etapa").agg(F.count(F.lit(1)).alias("tablas"))
 
 
+def _period(name: str, period: str) -> Query:
+    """A table of one period, rebuilt from the Silver tables that a run published."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        output = f"{Workspace(spark).folder}/out"
+        result = run_batch(spark, academic_batch(spark, folder), output, ALERTS, 1.0)
+        return rebuild(spark, result.folder, PERFORMANCE, name, period)
+
+    return run
+
+
 def _csv_cells(name: str) -> Query:
     return lambda spark, folder: csv_cells(spark.read.parquet(f"{folder}/{name}.parquet"))
 
@@ -302,6 +315,7 @@ def queries() -> dict[str, Query]:
     out["published_rechazados"] = _published_quarantine
     out["published_tables"] = _published_tables
     out["gate_effect"] = _gate_effect
+    out["period_rendimiento"] = _period("rendimiento", "P2")
     out["csv_cells_lineitem"] = _csv_cells("lineitem")
     out["csv_cells_documents"] = _csv_cells("documents")
     if llm is not None:

@@ -2,7 +2,7 @@
 
 from gradeflow.contract import CONTRACTS, POLICY, RULES, contract
 from gradeflow.plans.alerts import ALERTS
-from gradeflow.plans.batch import BatchResult, GateInputs, current_run, read_silver, run_batch
+from gradeflow.plans.batch import BatchResult, GateInputs, current_run, read_silver, rebuild, run_batch
 from gradeflow.plans.gold import Analytics, GoldInputs, GoldTable
 from gradeflow.plans.performance import PERFORMANCE
 from gradeflow.plans.validation import Validation, validate
@@ -25,6 +25,7 @@ __all__ = [
     "profile",
     "read_bronze",
     "read_silver",
+    "rebuild",
     "run_batch",
     "validate",
 ]

@@ -3,7 +3,7 @@
 Each table is checked against the *valid* rows of the tables it refers to, so a
 rejected parent also rejects its children.  What is read more than once is written to
 the workspace: the rows with the rules they break, which are read for counts, repeated
-keys and marking, and the checked masters, which every child looks up.
+keys and marking, the repeated keys, and the checked rows if there are too many of those.
 """
 
 from __future__ import annotations
@@ -250,7 +250,7 @@ def validate(
         rows = sizes[name].rows
         checked = mark_duplicates(flagged, table, rows, repeated, size, limits)
         # Written unless marking again is as cheap as reading: a broadcast lookup.
-        if name in MASTERS or not limits.broadcasts(size):
+        if not limits.broadcasts(size):
             checked = clean = workspace.land(f"checked/{name}", checked)
         else:
             # Among the clean rows of a key the first stays, whatever the others are.

@@ -433,6 +433,7 @@ def _finals() -> dict[str, str]:
     )
     out["attendance_by_enrolment"] = "SELECT * FROM por_asistencia"
     out["gold_rendimiento"] = "SELECT * FROM rendimiento"
+    out["period_rendimiento"] = "SELECT * FROM rendimiento WHERE periodo = 'P2'"
     out["gold_cursos_resumen"] = "SELECT * RENAME (media AS promedio) FROM cursos_resumen"
     out["gold_estudiantes_resumen"] = (
         "SELECT *, CASE WHEN desaprobados + inhabilitados >= 2 THEN 'ALTO'"

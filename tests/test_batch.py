@@ -7,7 +7,7 @@ import json
 import pytest
 from batches import published, worked_example, write_csv
 
-from gradeflow import ALERTS, PERFORMANCE, current_run, read_silver, run_batch
+from gradeflow import ALERTS, CONTRACTS, PERFORMANCE, current_run, read_silver, rebuild, run_batch
 from gradeflow.operators.lookup import Limits
 from gradeflow.plans.batch import add_pointer
 from gradeflow.sources.workspace import create_once, side_by_side
@@ -238,3 +238,43 @@ def test_a_run_id_goes_to_one_of_several(spark, tmp_path):
     assert sorted(made.values()) == [False] * 5 + [True]
     with pytest.raises(FileExistsError, match="exists already"):
         run_batch(spark, write_csv(worked_example(), tmp_path / "in"), str(tmp_path), ALERTS, run_id="run")
+
+
+def two_periods():
+    """The worked example twice, the second time in another term and period."""
+    batch = worked_example()
+    for name, rows in batch.items():
+        columns = CONTRACTS[name].columns
+        own = {"semestre_id", "curso_id", "estudiante_id"} & set(columns)
+        for row in list(rows):
+            cells = dict(zip(columns, row))
+            cells |= {c: f"{cells[c]}b" for c in own}
+            if "periodo" in cells:
+                cells["periodo"] = "2027/I = x"
+            rows.append([cells[c] for c in columns])
+    return batch
+
+
+def test_one_period_reads_its_own_files(spark, tmp_path):
+    inputs = write_csv(two_periods(), tmp_path / "in")
+    result = run_batch(spark, inputs, str(tmp_path / "out"), PERFORMANCE, 0.05)
+    assert result.published and result.rejected == 0
+    later = read_silver(spark, result.folder, "2027/I = x")
+    assert later["notas"].columns == list(CONTRACTS["notas"].columns)
+    assert (later["notas"].count(), later["asistencia"].count()) == (6, 12)
+    assert read_silver(spark, result.folder)["asistencia"].count() == 24
+    plan = later["notas"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(periodo" in plan and "PushedFilters: []" in plan
+    for table in PERFORMANCE.all_tables():
+        part = rebuild(spark, result.folder, PERFORMANCE, table.name, "2027/I = x")
+        whole = spark.read.parquet(f"{result.folder}/gold/{table.name}.parquet")
+        mark = "curso_id" if "curso_id" in whole.columns else "estudiante_id"
+        assert part.collect() == table.ordered(whole.filter(f"{mark} like '%b'")).collect(), table.name
+
+
+def test_facts_without_valid_rows_can_be_read(spark, tmp_path):
+    batch = worked_example()
+    batch["notas"] = [row[:2] + ["P0"] + row[3:] for row in batch["notas"]]
+    result = run_batch(spark, write_csv(batch, tmp_path / "in"), str(tmp_path / "out"), PERFORMANCE, 1.0)
+    assert read_silver(spark, result.folder)["notas"].count() == 0
+    assert rebuild(spark, result.folder, PERFORMANCE, "rendimiento", "2026-II").count() == 3
