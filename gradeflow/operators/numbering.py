@@ -101,6 +101,18 @@ def number_parquet(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     )
 
 
+def dealt_out(rows: DataFrame, scan: DataFrame) -> DataFrame:
+    """Numbered rows of a scan, dealt out by number if it has fewer splits than the session cores.
+
+    No more tasks read a file than it has row groups, and what is computed and written
+    next would have no more either.  A scan with splits for every core stays as it is;
+    the driver knows their number without a job.
+    """
+    if scan.rdd.getNumPartitions() >= scan.sparkSession.sparkContext.defaultParallelism:
+        return rows
+    return rows.repartition(ROW)
+
+
 def files_size(df: DataFrame) -> Size:
     """Size of one row per file of a scan: its path and a number."""
     paths = [len(path.encode()) for path in df.inputFiles()]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gradeflow.contract import CONTRACTS, MASTERS, POLICY, ROW, Policy, TableContract, contract
 from gradeflow.operators.lookup import DEFAULT_LIMITS, Limits, Size
 from gradeflow.operators.numbering import (
+    dealt_out,
     number_parquet,
     number_tagged,
     split_offsets,
@@ -74,7 +75,7 @@ def read_parquet(spark: SparkSession, folder: str, name: str, limits: Limits = D
     raw = _existing(
         table, folder, lambda: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     )
-    numbered = number_parquet(raw, limits)
+    numbered = dealt_out(number_parquet(raw, limits), raw)
     cells = [cell(f"cast({c} as string)", c) for c in table.columns]
     return numbered.selectExpr(*cells, ROW)
 

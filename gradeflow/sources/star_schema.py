@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeflow.contract import ROW
-from gradeflow.operators.numbering import number_parquet
+from gradeflow.operators.numbering import dealt_out, number_parquet
 from gradeflow.sources.bronze import cell
 
 # The source columns that are used, with their types: nothing is inferred.
@@ -139,7 +139,8 @@ def _read(spark: SparkSession, folder: str, source: str) -> DataFrame:
 def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Bronze of one table; its row number is the position in the source table."""
     source, join, columns = MAPPING[name]
-    rows = number_parquet(_read(spark, folder, source))
+    scan = _read(spark, folder, source)
+    rows = dealt_out(number_parquet(scan), scan)
     if join:
         other, condition = join
         left, right = condition.split("=")

@@ -7,10 +7,10 @@ import os
 import pytest
 from batches import frames, worked_example, write_csv
 
-from gradeflow.contract import CONTRACTS
+from gradeflow.contract import CONTRACTS, contract
 from gradeflow.operators import numbering
 from gradeflow.operators.lookup import Limits
-from gradeflow.operators.numbering import number_parquet
+from gradeflow.operators.numbering import dealt_out, number_parquet
 from gradeflow.sources.bronze import (
     describe,
     header_matches,
@@ -18,6 +18,7 @@ from gradeflow.sources.bronze import (
     profile,
     read_bronze,
     read_csv,
+    read_parquet,
 )
 from gradeflow.sources.star_schema import derive
 from gradeflow.sources.workspace import Workspace, measure
@@ -82,6 +83,24 @@ def test_parquet_rows_are_never_gathered_by_file(spark, tmp_path, monkeypatch, l
     assert "ReadSchema: struct<>" in plan
 
 
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """What follows has more tasks; the numbers stay; a scan of enough splits is not shuffled."""
+    path = f"{tmp_path}/notas.parquet"
+    columns = contract("notas").columns
+    spark.range(2, 60002, 1, 1).selectExpr(*[f"sha2(id || '{c}', 256) as {c}" for c in columns]).write.parquet(path)
+    df = read_parquet(spark, str(tmp_path), "notas")
+    assert df.filter("estudiante_id <> sha2(fila || 'estudiante_id', 256)").count() == 0 and df.count() == 60000
+    df.write.parquet(f"{tmp_path}/out")
+    assert len(spark.read.parquet(f"{tmp_path}/out").inputFiles()) > 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        scan = spark.read.parquet(path)
+        numbered = number_parquet(scan)
+        assert dealt_out(numbered, scan) is numbered
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_sizes_are_observed_while_tables_are_written(spark):
     workspace = Workspace(spark)
     df = spark.range(0, 1000, 1, 7).selectExpr("cast(id as string) as a", "if(id % 3 = 0, null, repeat('ñ', int(id % 40))) as b")
