@@ -32,9 +32,9 @@ from gradeflow.plans.validation import (  # noqa: E402
     term_reference,
     validate,
 )
-from gradeflow.plans.batch import MANIFEST, current_run, rebuild, run_batch  # noqa: E402
+from gradeflow.plans.batch import MANIFEST, METRICS, current_run, read_silver, rebuild, run_batch  # noqa: E402
 from gradeflow.sinks.publish import publish, write_csv  # noqa: E402
-from gradeflow.sources.bronze import limit_report, read_csv, table_profile  # noqa: E402
+from gradeflow.sources.bronze import header_matches, limit_report, read_csv, table_profile  # noqa: E402
 from gradeflow.sources.star_schema import academic_batch, derive  # noqa: E402
 from gradeflow.sources.workspace import Workspace  # noqa: E402
 
@@ -268,6 +268,60 @@ def _period(name: str, period: str) -> Query:
     return run
 
 
+def _published_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The one JSON object that a run published, read back with the summary's types."""
+    output = f"{Workspace(spark).folder}/out"
+    result = run_batch(spark, academic_batch(spark, folder), output, ALERTS, 1.0)
+    primary = spark.read.parquet(f"{result.folder}/gold/{ALERTS.primary.name}.parquet")
+    inputs = GoldInputs(read_silver(spark, result.folder), {}).with_primary(primary)
+    schema = ALERTS.summary(inputs).schema
+    return spark.read.schema(schema).option("multiLine", True).json(f"{result.folder}/gold/resumen.json")
+
+
+def _run_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """What two runs, one tolerating all rejects and one few, appended to the metrics of their output."""
+    output = f"{Workspace(spark).folder}/out"
+    for tolerance in (1.0, POLICY.default_tolerance):
+        run_batch(spark, academic_batch(spark, folder), output, ALERTS, tolerance)
+    lines = spark.read.schema("run_id string, etapa string, tabla string, filas long").json(f"{output}/{METRICS}")
+    runs = F.count_distinct("run_id").alias("corridas")
+    return lines.groupBy("etapa", "tabla").agg(runs, F.min("filas").alias("minimo"), F.max("filas").alias("maximo"))
+
+
+def _gate_checks_added(spark: SparkSession, folder: str) -> DataFrame:
+    """The gate with two checks of a caller's own, on Silver and on the quarantine."""
+    result = _validated(spark, folder, *ALL)
+    ungraded = result.silver["cursos"].join(result.silver["notas"], "curso_id", "left_anti")
+    reasons = quality.reason_counts(result.checked)
+    extra = [
+        _count_check("Cursos con notas", ungraded, 0),
+        _count_check("Motivos distintos", reasons.filter("filas > 0"), 20),
+    ]
+    return quality.gate_checks(quality.table_counts(result.checked), POLICY.default_tolerance, extra)
+
+
+def _count_check(name: str, rows: DataFrame, most: int) -> DataFrame:
+    n = F.count(F.lit(1))
+    return rows.agg(F.lit(name).alias("control"), (n <= most).alias("aprobado"), n.cast("string").alias("detalle"))
+
+
+def _csv_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables read with their headers checked, and whether a header with two columns swapped is told."""
+    workspace = Workspace(spark)
+    right, wrong = f"{workspace.folder}/right", f"{workspace.folder}/wrong"
+    rows = []
+    for name, table in CONTRACTS.items():
+        bronze = derive(spark, folder, name).drop(ROW)
+        first, second, *others = table.columns
+        write_csv(bronze.select(*table.columns), f"{right}/{name}")
+        write_csv(bronze.select(second, first, *others), f"{wrong}/{name}")
+        told = [header_matches(spark, place, name) for place in (right, wrong)]
+        read = read_csv(spark, right, name, workspace, check_header=True)
+        flags = [F.lit(t).alias(c) for t, c in zip(told, ("en_orden", "cambiado"))]
+        rows.append(read.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("tabla"), "filas", *flags))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _csv_cells(name: str) -> Query:
     return lambda spark, folder: csv_cells(spark.read.parquet(f"{folder}/{name}.parquet"))
 
@@ -315,6 +369,10 @@ def queries() -> dict[str, Query]:
     out["published_rechazados"] = _published_quarantine
     out["published_tables"] = _published_tables
     out["gate_effect"] = _gate_effect
+    out["published_resumen"] = _published_summary
+    out["run_metrics"] = _run_metrics
+    out["gate_checks_added"] = _gate_checks_added
+    out["csv_headers"] = _csv_headers
     out["period_rendimiento"] = _period("rendimiento", "P2")
     out["csv_cells_lineitem"] = _csv_cells("lineitem")
     out["csv_cells_documents"] = _csv_cells("documents")

@@ -526,6 +526,27 @@ def _finals() -> dict[str, str]:
         "SELECT 'quarantine' AS etapa, 1 AS tablas UNION ALL SELECT 'silver', 5"
         " UNION ALL SELECT 'gold', 2 WHERE (SELECT bool_and(aprobado) FROM checks)"
     )
+    out["published_resumen"] = out["alertas_resumen"]
+    # The first of two runs publishes, the second only if the gate passes.
+    gold = " UNION ALL ".join(
+        f"SELECT 'GOLD' AS etapa, '{name}' AS tabla, {{}} AS corridas, count(*) AS minimo,"
+        f" count(*) AS maximo FROM ({out[name]})"
+        for name in ("alertas_asistencia", "alertas_por_curso")
+    ).replace("{}", "1 + (SELECT CAST(bool_and(aprobado) AS BIGINT) FROM checks)")
+    out["run_metrics"] = (
+        "SELECT etapa, tabla, CAST(2 AS BIGINT) AS corridas, filas AS minimo, filas AS maximo"
+        f" FROM ({out['stage_rows']}) UNION ALL {gold}"
+    )
+    out["gate_checks_added"] = (
+        "SELECT * FROM checks UNION ALL SELECT 'Cursos con notas', count(*) = 0, CAST(count(*) AS VARCHAR)"
+        " FROM cursos_s WHERE curso_id NOT IN (SELECT curso_id FROM notas_s)"
+        " UNION ALL SELECT 'Motivos distintos', count(*) <= 20, CAST(count(*) AS VARCHAR)"
+        " FROM reason_rows WHERE filas > 0"
+    )
+    out["csv_headers"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS tabla, count(*) AS filas, true AS en_orden, false AS cambiado FROM {name}_b"
+        for name in CONTRACTS
+    )
     out["csv_cells_lineitem"] = _csv(
         {
             "l_orderkey": "whole",
