@@ -3,8 +3,9 @@
 On a bounded sample, the graph of nearest neighbours is cut into balanced parts, and a
 small network learns in which parts a vector's neighbours lie.  Every vector goes to its
 most probable part.  A query goes to as many of its most probable parts as held the
-wanted share of neighbours of sampled vectors that were kept from learning, and the
-vectors of these parts are ranked by their exact distance.
+wanted share of neighbours of sampled vectors that were kept from learning, and to more
+where these hold too few other vectors.  The vectors of its parts are ranked by their
+exact distance.
 """
 
 from __future__ import annotations
@@ -31,10 +32,13 @@ from gradeflow.llm.vectors import (
 
 #: Vectors to learn from, at most about this many; one in HOLD is kept from learning.
 SAMPLE, HOLD = 4096, 4
-#: Parts, and the least vectors of the sample for each of them.
-PARTS, LEAST = 16, 16
+#: Parts at least, vectors of the table for each part beyond, least vectors of the sample for each:
+#: so a query visits a share of a table, and more parts than the sample can tell apart are not made.
+PARTS, PART_ROWS, LEAST = 16, 2048, 16
 #: Share of the neighbours that the visited parts hold in the sample.
 RECALL = 0.95
+#: Components beyond this are scaled down before they are squared.
+HUGE = 1e150
 
 
 class Routes:
@@ -60,31 +64,45 @@ class Routes:
         return self.router.probable(vectors, count)
 
 
-def fitted(rows: DataFrame, sample: int, parts: int, k: int, recall: float) -> Routes:
+def fitted(rows: DataFrame, sample: int, parts: int | None, k: int, recall: float) -> Routes:
+    """``parts`` is by the number of rows unless it is given."""
+    size = rows.count()
     # Equal vectors teach nothing new: each counts once.
-    chosen = rows.filter(in_share(sample / max(1, rows.count()), "vec_id", "vec")).groupBy("vec").agg(F.min("vec_id").alias("vec_id"))
+    chosen = rows.filter(in_share(sample / max(1, size), "vec_id", "vec")).groupBy("vec").agg(F.min("vec_id").alias("vec_id"))
     table = chosen.orderBy(F.xxhash64("vec"), "vec_id").toArrow().combine_chunks()
     structs = pa.StructArray.from_arrays([table.column("vec").combine_chunks()], ["vec"])
-    return Routes(matrix(structs, "vec"), parts, k, recall)
+    return Routes(matrix(structs, "vec"), parts or max(PARTS, size // PART_ROWS), k, recall)
 
 
-def routed(rows: DataFrame, routes: Routes, count: int) -> DataFrame:
-    """vec_id, vec, part: a row for each of the ``count`` most probable parts."""
-    shared = rows.sparkSession.sparkContext.broadcast(routes)
+def routed(rows: DataFrame, routes: Routes, held: list[int] | None = None, k: int = 0) -> DataFrame:
+    """vec_id, vec, part: a vector's most probable part, or with ``held`` the parts a query visits.
+
+    ``held`` is how many vectors each part holds.  A query goes to parts until they hold
+    ``k`` vectors besides its ``own`` ones.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((routes, None if held is None else np.array(held)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        routes, held = shared.value
         for batch in batches:
             for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
                 part = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in part.columns], part.schema.names)
                 vectors = matrix(pa.StructArray.from_arrays([part.column(1)], ["vec"]), "vec")
-                found = shared.value.probable(vectors, count)
-                take = pa.array(np.repeat(np.arange(len(found)), found.shape[1]))
+                found = routes.probable(vectors, 1 if held is None else routes.parts)
+                visited = np.ones(len(found), np.int64)
+                if held is not None:
+                    enough = np.cumsum(held[found], axis=1) >= k + part.column(2).to_numpy()[:, None]
+                    first = np.where(enough.any(axis=1), enough.argmax(axis=1) + 1, found.shape[1])
+                    visited = np.maximum(first, min(routes.probes, found.shape[1]))
+                take = pa.array(np.repeat(np.arange(len(found)), visited))
+                chosen = found[np.arange(found.shape[1]) < visited[:, None]]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), pa.array(found.ravel(), pa.int64())],
+                    [part.column(0).take(take), part.column(1).take(take), pa.array(chosen, pa.int64())],
                     ["vec_id", "vec", "part"],
                 )
 
-    return rows.select("vec_id", "vec").mapInArrow(run, "vec_id long, vec array<double>, part long")
+    columns = ["vec_id", "vec"] if held is None else ["vec_id", "vec", "own"]
+    return rows.select(*columns).mapInArrow(run, "vec_id long, vec array<double>, part long")
 
 
 def dealt(rows: DataFrame, name: str, other: str, own: list[int], across: list[int], cell: str) -> DataFrame:
@@ -110,6 +128,9 @@ def ranked(k: int):
     def one(v: pa.StructArray, q: pa.StructArray) -> Iterator[pa.RecordBatch]:
         queries, vectors = same_width(matrix(q, "vec"), matrix(v, "vec"))
         qids, vids = numbers(q, "vec_id"), numbers(v, "vec_id")
+        largest = max(np.abs(queries).max(initial=0), np.abs(vectors).max(initial=0))
+        scale = largest if largest > HUGE else 1.0
+        queries, vectors = queries / scale, vectors / scale
         own, norms = (queries * queries).sum(axis=1), (vectors * vectors).sum(axis=1)
         squares = own[:, None] + norms - 2 * (queries @ vectors.T)
         # More than what rounding can change in a square.
@@ -123,7 +144,7 @@ def ranked(k: int):
                 rows = rows[near[rows] <= np.partition(near[rows], k - 1)[k - 1] + slack[i]]
             exact = np.sqrt(((vectors[rows] - queries[i]) ** 2).sum(axis=1))
             order = np.lexsort((vids[rows], exact))[:k]
-            out.append((np.full(len(order), query), vids[rows][order], exact[order]))
+            out.append((np.full(len(order), query), vids[rows][order], exact[order] * scale))
         if out:
             ids, found, scores = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays(
@@ -138,7 +159,7 @@ def nearest(
     vectors: DataFrame,
     k: int = 10,
     modulus: int = 100,
-    parts: int = PARTS,
+    parts: int | None = None,
     sample: int = SAMPLE,
     recall: float = RECALL,
     id_column: str = "vec_id",
@@ -150,18 +171,22 @@ def nearest(
     ``score`` is the Euclidean distance.  Rows without an id, a vector, or with only zeros
     or a component that is null or not finite take no part; shorter vectors go on with
     zeros.  Repeated rows are candidates each; a repeated query is one.  Ties go to the
-    smaller id.  An empty table gives no rows.
+    smaller id.  A distance beyond what a double holds is infinite.  An empty table gives
+    no rows; every query gets ``k`` rows if the table has that many other vectors.
     """
     rows = landed(usable(vectors, id_column, vector_column, zero=False))
     routes = fitted(rows, sample, parts, k, recall)
-    index = landed(routed(rows, routes, 1))
-    asked = landed(routed(queries_of(rows, modulus), routes, routes.probes))
+    index = landed(routed(rows, routes))
 
-    def sizes(side: DataFrame, block: int) -> list[int]:
+    def sizes(side: DataFrame) -> list[int]:
         found = {r.part: r["count"] for r in side.groupBy("part").count().collect()}
-        return [-(-found.get(part, 0) // block) for part in range(routes.parts)]
+        return [found.get(part, 0) for part in range(routes.parts)]
 
-    blocks, query_blocks = sizes(index, BLOCK), sizes(asked, QUERY_BLOCK)
+    held = sizes(index)
+    own = rows.filter(F.col("vec_id") % modulus == 0).groupBy("vec_id").agg(F.count("*").alias("own"))
+    asked = landed(routed(queries_of(rows, modulus).join(own, "vec_id"), routes, held, k))
+    blocks = [-(-n // BLOCK) for n in held]
+    query_blocks = [-(-n // QUERY_BLOCK) for n in sizes(asked)]
     left = dealt(asked, "qb", "vb", query_blocks, blocks, "q")
     right = dealt(index, "vb", "qb", blocks, query_blocks, "v")
     made = left.join(right, ["part", "vb", "qb"]).select("v", "q").mapInArrow(

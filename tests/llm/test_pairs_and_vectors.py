@@ -203,6 +203,49 @@ def test_nearest_neighbours_of_odd_rows(spark):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == wanted
 
 
+def test_few_parts_are_visited_of_clustered_vectors(spark):
+    """Parts grow with the table, and most are left out without losing neighbours."""
+    chance = np.random.default_rng(4)
+    centres = chance.normal(size=(64, 16)) * 4
+    table = centres[np.arange(3000) % 64] + chance.normal(size=(3000, 16))
+    rows = embeddings(spark, [(i, [float(x) for x in e]) for i, e in enumerate(table)])
+    got = neighbours.nearest(rows, parts=32).collect()
+    hits = 0
+    for query in range(0, 3000, 100):
+        far = ((table - table[query]) ** 2).sum(axis=1)
+        far[query] = np.inf
+        hits += len({r.vec_id for r in got if r.query_id == query} & set(np.argsort(far)[:10]))
+    assert hits >= 0.95 * 300 and len(got) == 300
+    usable_rows = neighbours.usable(rows, "vec_id", "embedding", zero=False)
+    routes = neighbours.fitted(usable_rows, 4096, 32, 10, 0.95)
+    assert routes.parts == 32 and 2 * routes.probes < routes.parts
+    index = {r.part: r["count"] for r in neighbours.routed(usable_rows, routes).groupBy("part").count().collect()}
+    asked = neighbours.routed(
+        usable_rows.filter("vec_id % 100 = 0").selectExpr("*", "1 as own"), routes, [index.get(p, 0) for p in range(32)], 10
+    )
+    assert 2 * sum(index.get(r.part, 0) for r in asked.collect()) < 30 * 3000
+
+
+def test_more_parts_are_visited_where_few_vectors_lie(spark):
+    """A query among three others, two of them under its own id, still gets all ten."""
+    chance = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in chance.normal(size=4)]) for i in range(1, 900) if i % 100]
+    rows += [(100, [500.0, 500.0, 500.0, 500.0])] * 3 + [(950 + i, [501.0, 500.0, 500.0, 500.0 + i]) for i in range(3)]
+    got = neighbours.nearest(embeddings(spark, rows), sample=600, recall=0.01).collect()
+    assert [r["rank"] for r in sorted(got, key=lambda r: r["rank"])] == list(range(1, 11))
+    assert {r.vec_id for r in got if r["rank"] <= 3} == {950, 951, 952}
+    few = [*rows[:5], (100, [1.0] * 4)]
+    assert len(neighbours.nearest(embeddings(spark, few)).collect()) == 5
+
+
+def test_nearest_neighbours_of_huge_components(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 3e199]), (2, [-1e200, 0.0]), (3, [1.0, 1.0]), (4, [1.7e308, 0.0])]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [1, 3, 2, 4]
+    scores = {r.vec_id: r.score for r in got}
+    assert scores[1] == pytest.approx(3e199) and scores[2] == pytest.approx(2e200) and scores[4] == pytest.approx(1.7e308)
+
+
 def brute_mix(rows):
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     names = sorted({s for _, _, s in rows}, key=lambda s: (s is None, (s or "").encode()))
