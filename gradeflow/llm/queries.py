@@ -111,7 +111,45 @@ _NATIVE: dict[str, Query] = {"op11_benchmark_passages": benchmark_passages}
 
 QUERIES = {name: shipped(query) for name, query in _QUERIES.items()} | _NATIVE
 
+#: Every two classes of equal sets that share a shingle are compared; what links reach is followed
+#: step by step.
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2),
+            lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]))) END AS s
+    FROM words
+), classes AS MATERIALIZED (
+    SELECT min(doc_id) AS class, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), shingles AS MATERIALIZED (
+    SELECT class, n, unnest(s) AS shingle FROM classes
+), links AS MATERIALIZED (
+    SELECT a.class AS x, b.class AS y FROM shingles a JOIN shingles b
+        ON a.shingle = b.shingle AND a.class < b.class
+        -- Sets of too different sizes are never that similar.
+        AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+    GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), edges AS MATERIALIZED (
+    SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached(class, node) AS (
+    SELECT class, class FROM classes
+    UNION
+    SELECT r.class, e.y FROM reached r JOIN edges e ON r.node = e.x
+), roots AS (
+    SELECT class, min(node) AS root FROM reached GROUP BY class
+)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id,
+    d.doc_id = coalesce(r.root, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes c ON d.s = c.s LEFT JOIN roots r ON c.class = r.class
+"""
+
 SQL: dict[str, str] = {
+    "op3_minhash_near_dedup": NEAR_DUPLICATES_SQL,
     "op4_exact_top_k": exact_topk.TOPK_SQL,
     "op9_mixing_targets": mixing.MIX_SQL,
     "op11_benchmark_passages": decontamination.CONTAMINATION_SQL,
