@@ -54,7 +54,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def describe(width: int):
-    """doc_id, set size, class and signature of each text."""
+    """doc_id, set size, class and signature of each text; its digest passes unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,8 +65,14 @@ def describe(width: int):
                 classes.append(set_id(hashes) if len(hashes) else None)
                 signatures.append(signature(hashes).tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(signatures, pa.binary())],
-                ["doc_id", "n_shingles", "class", "signature"],
+                [
+                    batch.column(0),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(classes, pa.binary()),
+                    pa.array(signatures, pa.binary()),
+                    batch.column(2),
+                ],
+                ["doc_id", "n_shingles", "class", "signature", "digest"],
             )
 
     return run
@@ -305,9 +311,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
 
 
 def classified(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, class, root, component_id; the last three null without words."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    shape = "doc_id long, n_shingles long, class binary, signature binary"
+    """doc_id, n_shingles, class, digest of the text, root, component_id; class, root and the last null without words."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text", _digest())
+    shape = "doc_id long, n_shingles long, class binary, signature binary, digest binary"
     described = landed(docs.mapInArrow(describe(width), shape))
     classes = described.filter("class is not null").groupBy("class")
     classes = classes.agg(F.min("doc_id").alias("doc_id"), F.min("signature").alias("signature"))
@@ -318,7 +324,7 @@ def classified(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     rooted = landed(rooted.select("class", "doc_id", F.coalesce("root", "node").alias("root")))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     ids = rooted.select("class", "root").join(least, "root")
-    return described.select("doc_id", "n_shingles", "class").join(ids, "class", "left")
+    return described.select("doc_id", "n_shingles", "class", "digest").join(ids, "class", "left")
 
 
 def one_of_each(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
@@ -330,15 +336,16 @@ def one_of_each(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame
     columns = docs.columns
     found = classified(docs, width, percent)
     # The class to keep of each group: that of its smallest id, by name among several.
-    named = found.select("root", _none(), _id(), F.coalesce("class", F.lit(b"")).alias("_class"), "class")
-    key = ["_none", "_id", "_class"]
-    best = named.filter("class is not null").groupBy("root").agg(F.min(F.struct(*key)).alias("best"))
-    keep = landed(best.select("best.*").union(named.filter("class is null").select(*key).distinct()))
-    # An id may stand for several texts, so each text's class is named again.
-    shape = docs.limit(0).selectExpr("*", "cast(null as binary) as _class").schema
-    texts = docs.mapInArrow(_with_class(width, columns.index("text")), shape)
+    # An id may stand for several texts, and a class for several of an id's: the digest tells which to keep.
+    named = found.select("root", _none(), _id(), "class", F.col("digest").alias("_digest"))
+    key = ["_none", "_id", "_digest"]
+    chosen = F.min(F.struct("_none", "_id", "class", "_digest")).alias("best")
+    best = named.filter("class is not null").groupBy("root").agg(chosen)
+    wordless = named.filter("class is null").groupBy("_none", "_id").agg(F.min("_digest").alias("_digest"))
+    keep = landed(best.select(*[f"best.{c}" for c in key]).union(wordless))
     # One shuffle, after each task has dropped its own repeated rows, serves both steps.
-    return texts.select("*", _none(), _id()).dropDuplicates(key).join(keep, key, "left_semi").select(columns)
+    texts = docs.select("*", _none(), _id(), _digest().alias("_digest"))
+    return texts.dropDuplicates(key).join(keep, key, "left_semi").select(columns)
 
 
 def _none() -> F.Column:
@@ -349,11 +356,6 @@ def _id() -> F.Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id")
 
 
-def _with_class(width: int, at: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = (shingle_set(text.as_py(), width) for text in batch.column(at))
-            names = pa.array([set_id(s) if len(s) else b"" for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, names], [*batch.schema.names, "_class"])
-
-    return run
+def _digest() -> F.Column:
+    """32 bytes that name a text: equal for equal texts, null counting as empty."""
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("digest")

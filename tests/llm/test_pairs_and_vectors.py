@@ -110,6 +110,16 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     )
 
 
+def test_one_of_each_keeps_texts_out_of_python_workers(spark):
+    """Kept rows are found by id and digest: they don't cross Python, which holds whole batches of texts."""
+    a = " ".join(f"a{i}" for i in range(30))
+    docs = documents(spark, [(1, a, "s"), (1, a.upper(), "s"), (2, a, "s"), (2, "x", "s"), (None, None, "s")])
+    kept = near_dedup.one_of_each(docs)
+    assert "InArrow" not in kept._jdf.queryExecution().toString()
+    found = sorted((str(r.doc_id), str(r.text).lower()) for r in kept.collect())
+    assert found == [("1", a), ("2", "x"), ("None", "none")]
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(documents(spark, [])).collect() == []
     assert near_dedup.one_of_each(documents(spark, [])).collect() == []
