@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from batches import frames, worked_example
 from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS
@@ -12,6 +13,7 @@ from gradeflow.operators.duplicates import mark_duplicates, repeated_keys
 from gradeflow.operators.enrol import enrol, large_terms
 from gradeflow.operators.lookup import Limits, Size, attach, hot_keys, hot_threshold
 from gradeflow.operators.merit import add_merit
+from gradeflow.plans import validation
 from gradeflow.sources.workspace import measure
 
 TIGHT = Limits(broadcast_bytes=-1)
@@ -156,3 +158,44 @@ def test_merit_order_matches_brute_force(spark, groups):
         expected[student] = (ahead + 1, ahead + 1 <= -(-len(peers) // 3))
     for df in (small, large):
         assert {r["e"]: (r["orden_merito"], r["tercio_superior"]) for r in df.collect()} == expected
+
+
+def test_hot_repeated_keys_are_found_without_a_join(spark):
+    flagged = spark.createDataFrame(skewed_notas(200, 3), FLAGGED_SCHEMA)
+    table = CONTRACTS["notas"]
+    marked = mark_duplicates(flagged, table, 200, repeated_keys(flagged, table), Size(9, 10**12), TIGHT)
+    assert "LeftSemi" not in marked._jdf.queryExecution().toString()
+
+
+def test_students_are_measured_by_the_columns_that_are_looked_up(spark, monkeypatch):
+    """Whole students are beyond the limit, what facts look up of them is within it: no hot keys are sought."""
+    batch = frames(spark, worked_example())
+    whole, slim = measure(batch["estudiantes"]), measure(batch["estudiantes"].select(*validation.STUDENT_REFERENCE))
+    expected = validation.validate(batch)
+
+    def unwanted(*args):
+        raise AssertionError("the reference fits")
+
+    monkeypatch.setattr(validation, "hot_keys", unwanted)
+    limits = Limits(broadcast_bytes=max(slim.bytes, measure(batch["cursos"]).bytes + measure(batch["semestres"]).bytes))
+    assert limits.broadcast_bytes < whole.bytes
+    found = validation.validate(batch, limits=limits)
+    for name in CONTRACTS:
+        assert sorted(map(repr, found.checked[name].collect())) == sorted(map(repr, expected.checked[name].collect()))
+    assert found.sizes == expected.sizes
+
+
+def test_facts_of_a_large_reference_are_derived_once(spark):
+    batch = frames(spark, worked_example())
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for part in batches:
+            seen.add(part.num_rows)
+            yield part
+
+    rows = batch["notas"].count()
+    batch["notas"] = batch["notas"].mapInArrow(counted, batch["notas"].schema)
+    found = validation.validate(batch, limits=TIGHT)
+    assert found.sizes["notas"] == Size(rows, None) and found.silver["notas"].count() == rows
+    assert seen.value == rows
