@@ -9,7 +9,16 @@ from batches import frames, worked_example
 from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS
-from gradeflow.operators.duplicates import mark_duplicates, repeated_keys
+from gradeflow.operators.duplicates import (
+    BLOCK_BYTES,
+    blocks_bound,
+    blocks_tell,
+    mark_by_blocks,
+    mark_duplicates,
+    repeated_bound,
+    repeated_keys,
+    staying_rows,
+)
 from gradeflow.operators.enrol import enrol, large_terms
 from gradeflow.operators.lookup import Limits, Size, attach, hot_keys, hot_threshold
 from gradeflow.operators.merit import add_merit
@@ -199,3 +208,48 @@ def test_facts_of_a_large_reference_are_derived_once(spark):
     found = validation.validate(batch, limits=TIGHT)
     assert found.sizes["notas"] == Size(rows, None) and found.silver["notas"].count() == rows
     assert seen.value == rows
+
+
+@pytest.mark.parametrize("shift", [0, 32_766, -70_000])
+def test_duplicates_by_blocks_match_brute_force(spark, shift):
+    """Bits over several blocks, and row numbers around the borders of blocks."""
+    table = CONTRACTS["notas"]
+    rows = [(*r[:7], (r[7] - 2) * 31 + shift, r[8]) for r in skewed_notas(3000, 4)]
+    flagged = spark.createDataFrame(rows, FLAGGED_SCHEMA)
+    blocks = staying_rows(flagged, table).localCheckpoint()
+    assert 1 < blocks.count() <= blocks_bound(flagged).rows
+    assert blocks_tell(flagged, table, blocks)
+    marked = mark_by_blocks(flagged, table, blocks)
+    assert marked.columns == flagged.columns
+    assert {r["fila"]: r["motivos"] for r in marked.collect()} == expected_reasons(rows)
+
+
+def test_blocks_tell_when_row_numbers_repeat(spark):
+    table = CONTRACTS["notas"]
+    row = (None, None, None)
+    cases = {
+        # Row 3 is a copy of key A and the first row of key B.
+        "shared": [("A", "C", "P", "E", *row, 2, ""), ("A", "C", "P", "E", *row, 3, ""), ("B", "C", "P", "E", *row, 3, "")],
+        # Two rows of one number and key: both stay.
+        "tied": [("A", "C", "P", "E", *row, 2, ""), ("A", "C", "P", "E", *row, 2, "")],
+        "right": [("A", "C", "P", "E", *row, 2, ""), (None, "C", "P", "E", *row, 2, ""), ("B", "C", "P", "E", *row, None, "")],
+    }
+    for name, rows in cases.items():
+        flagged = spark.createDataFrame(rows, FLAGGED_SCHEMA)
+        assert blocks_tell(flagged, table, staying_rows(flagged, table)) == (name == "right"), name
+
+
+@pytest.mark.parametrize("double", [False, True])
+def test_many_repeated_keys_are_marked_without_shuffling_the_rows(spark, double):
+    """Between the limits rows find their bit by a broadcast; repeated numbers take the join, with the same result."""
+    batch = frames(spark, worked_example() | {"notas": [list(r[:7]) for r in skewed_notas(600, 5)]})
+    if double:
+        batch["notas"] = batch["notas"].unionByName(batch["notas"].limit(100))
+    expected = validation.validate(batch).checked["notas"]
+    limits = Limits(broadcast_bytes=3 * BLOCK_BYTES)
+    assert not limits.broadcasts(repeated_bound(CONTRACTS["notas"], 600))
+    found = validation.validate(batch, limits=limits).checked["notas"]
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+    plan = found._jdf.queryExecution().toString()
+    assert ("palabras" in plan) != double
+    assert double or ("SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan)
