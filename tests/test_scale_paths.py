@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 import pytest
-from batches import frames, worked_example
+from batches import frames, published, worked_example
 from pyspark.sql import functions as F
 
 from gradeflow.contract import CONTRACTS
@@ -23,6 +24,7 @@ from gradeflow.operators.enrol import enrol, large_terms
 from gradeflow.operators.lookup import Limits, Size, attach, hot_keys, hot_threshold
 from gradeflow.operators.merit import add_merit
 from gradeflow.plans import validation
+from gradeflow.sinks.publish import publish_counted
 from gradeflow.sources.workspace import measure
 
 TIGHT = Limits(broadcast_bytes=-1)
@@ -253,3 +255,32 @@ def test_many_repeated_keys_are_marked_without_shuffling_the_rows(spark, double)
     plan = found._jdf.queryExecution().toString()
     assert ("palabras" in plan) != double
     assert double or ("SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan)
+
+
+def test_rejected_rows_are_sorted_without_the_texts_made_of_them(spark):
+    """Key and record are made above the sort; they say the same for every table."""
+    batch = frames(spark, worked_example() | {"estudiantes": [["E9", None, "x", "y", "S", None]]})
+    result = validation.validate(batch)
+    lines = result.quarantine()._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    sort = next(place for place, line in enumerate(lines) if "Sort [" in line)
+    assert any("AS registro#" in line for line in lines[:sort])
+    assert not any("AS registro#" in line or "AS clave#" in line for line in lines[sort:])
+    for name, table in CONTRACTS.items():
+        rows = {r["fila"]: r for r in batch[name].collect()}
+        found = result.quarantine().filter(F.col("tabla") == name).collect()
+        assert len(found) == result.checked[name].filter("motivos <> ''").count()
+        for r in found:
+            cells = rows[r["fila"]].asDict()
+            assert json.loads(r["registro"]) == {c: cells[c] for c in table.columns}
+            assert list(json.loads(r["registro"])) == list(table.columns)
+            assert r["clave"] == " · ".join("?" if cells[c] is None else cells[c] for c in table.key)
+
+
+def test_what_finishes_published_rows_is_not_shuffled(spark, tmp_path):
+    df = spark.range(50).selectExpr("cast(id as int) as id").repartition(4)
+    wide = lambda rows: rows.selectExpr("id", "repeat('x', id) as t")
+    written, rows = publish_counted(df, str(tmp_path), "t", [F.col("id").desc()], finish=wide)
+    assert rows == 50 and written.columns == ["id", "t"]
+    assert {(r["id"], r["t"]) for r in written.collect()} == {(n, "x" * n) for n in range(50)}
+    back = published(spark, str(tmp_path), "t")
+    assert [(r["id"], r["t"] or "") for r in back] == [(str(n), "x" * n) for n in range(49, -1, -1)]
