@@ -8,11 +8,15 @@ are broken by the smaller id.
 
 From a block, only the best bins that hold k scores of it count: lower ones can't hold
 the k-th best of all.  So a round sends at most k numbers per query and block.
+
+Blocks of candidates stay where they were written and are neither copied nor shuffled.
+Blocks of queries are sent to them, so many at a time as ``SENT_BYTES`` hold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +28,6 @@ from gradeflow.llm.vectors import (
     BLOCK,
     QUERY_BLOCK,
     blocks,
-    every_block,
     matrix,
     numbers,
     queries_of,
@@ -35,6 +38,10 @@ from gradeflow.llm.vectors import (
 
 #: Width of the bins of each round, as powers of two; the last is one score.
 SHIFTS = (16, 8, 0)
+#: Bytes of queries that are sent to every executor at once, through the driver.
+SENT_BYTES = 16 * 1024 * 1024
+#: Bytes of a query besides its components.
+QUERY_BYTES = 128
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -130,7 +137,18 @@ def top_k(
     count = max(1, -(-rows.count() // BLOCK))
     base = landed(blocks(rows, "vb", count, ["vec_id", "vec"]).withColumnRenamed("rows", "v"))
     asked = landed(queries_of(rows, modulus))
-    query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    size = F.sum(F.size("vec") * 8 + QUERY_BYTES)
+    queries, sent = asked.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    # Queries are independent, so that those sent at once are settled before the next.
+    turns = max(1, -(-sent // SENT_BYTES))
+    query_blocks = max(1, -(-queries // (turns * QUERY_BLOCK)))
+    turn = F.pmod(F.xxhash64("vec_id"), F.lit(turns))
+    parts = [landed(_settled(base, asked.filter(turn == n), query_blocks, k)) for n in range(turns)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _settled(base: DataFrame, asked: DataFrame, query_blocks: int, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score of the queries ``asked`` over all blocks of candidates."""
     state = asked.select(
         "*",
         F.lit(0).cast("long").alias("bin"),
@@ -140,9 +158,8 @@ def top_k(
 
     def grid(state: DataFrame) -> DataFrame:
         fields = ["vec_id", "vec", "bin", "need", "whole"]
-        left = blocks(state, "qb", query_blocks, fields).withColumnRenamed("rows", "q")
-        left = left.select("*", every_block("vb", count))
-        return left.join(base.select("*", every_block("qb", query_blocks)), ["vb", "qb"]).select("v", "q")
+        sent = blocks(state, "qb", query_blocks, fields).select(F.col("rows").alias("q"))
+        return base.crossJoin(F.broadcast(sent)).select("v", "q")
 
     width = None
     for shift in SHIFTS:

@@ -170,6 +170,30 @@ def test_top_k_equals_brute_force(spark, monkeypatch, block):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == wanted
 
 
+def test_no_block_is_copied_for_another(spark, monkeypatch):
+    """Queries are sent as often as ``SENT_BYTES`` needs; candidates stay in place, one row a block."""
+    monkeypatch.setattr(exact_topk, "BLOCK", 16)
+    monkeypatch.setattr(exact_topk, "QUERY_BLOCK", 2)
+    plans, land = [], exact_topk.landed
+
+    def remember(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return land(df)
+
+    monkeypatch.setattr(exact_topk, "landed", remember)
+    chance = np.random.default_rng(2)
+    vectors = embeddings(spark, [(i, chance.normal(size=4).tolist()) for i in range(0, 2000, 10)])
+    once = exact_topk.top_k(vectors).collect()
+    grids = [plan for plan in plans if "MapInArrow" in plan]
+    assert len(grids) == len(exact_topk.SHIFTS) + 1
+    assert all("Generate explode" not in plan and "Join Cross, rightHint=(strategy=broadcast)" in plan for plan in grids)
+    # 40 queries of 160 bytes take several turns.
+    monkeypatch.setattr(exact_topk, "SENT_BYTES", 1500)
+    plans.clear()
+    assert sorted(exact_topk.top_k(vectors).collect()) == sorted(once) and len(once) == 200
+    assert len([plan for plan in plans if "MapInArrow" in plan]) == 5 * len(grids)
+
+
 def test_top_k_of_few_none_long_and_large(spark):
     assert exact_topk.top_k(embeddings(spark, [])).collect() == []
     assert exact_topk.top_k(embeddings(spark, [(50, [1.0, 2.0])])).collect() == []
