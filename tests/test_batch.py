@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
-from batches import published, worked_example, write_csv
+from batches import frames, published, worked_example, write_csv
 
 from gradeflow import ALERTS, CONTRACTS, PERFORMANCE, current_run, read_silver, rebuild, run_batch
 from gradeflow.operators.lookup import Limits
+from gradeflow.plans import validation
 from gradeflow.plans.batch import add_pointer
-from gradeflow.sources.workspace import create_once, side_by_side
+from gradeflow.sources.workspace import create_once, free_shuffles, side_by_side
 
 
 def test_performance_example(spark, tmp_path):
@@ -255,6 +257,29 @@ def two_periods():
     return batch
 
 
+def test_shuffle_files_go_once_all_is_checked(spark, tmp_path, monkeypatch):
+    """Spark keeps them until the driver's garbage is collected, which nothing else asks for."""
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+    freed = []
+    monkeypatch.setattr(validation, "free_shuffles", freed.append)
+    result = validation.validate(frames(spark, worked_example()))
+    assert freed == [spark] and list(result.checked) == list(CONTRACTS)
+    before = shuffles()
+    spark.range(100).repartition(3, "id").write.parquet(str(tmp_path / "t"))
+    made = shuffles() - before
+    end = time.time() + 30
+    while (left := made & shuffles()) and time.time() < end:
+        free_shuffles(spark)
+        time.sleep(0.2)
+    assert made and not left
+    assert result.silver["notas"].count() == 6
+
+
 def test_one_period_reads_its_own_files(spark, tmp_path):
     inputs = write_csv(two_periods(), tmp_path / "in")
     result = run_batch(spark, inputs, str(tmp_path / "out"), PERFORMANCE, 0.05)
